@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,14 @@ BROADCAST_ROWS = 500_000
 SALTS = 16
 
 
+def ship(module: str) -> None:
+    """Sends a module's functions to the executors by value, so that they need no copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
+ship(__name__)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -57,12 +57,12 @@ def host_rates(judged: DataFrame, host: str = "__host") -> DataFrame:
     """
     hosts = judged.groupBy(host).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
     own = F.col("failed") / F.col("n")
-    prior = hosts.agg(F.avg(own).alias("m"), F.var_samp(own).alias("v"), F.avg(own * (1 - own) / F.col("n")).alias("noise"))
-    between = F.col("v") - F.col("noise")  # what the hosts' sizes alone explain is not between them
-    weight = F.when(between > 0, F.least(F.greatest(F.col("m") * (1 - F.col("m")) / between - 1, F.lit(2.0)), F.lit(1e6))).otherwise(F.lit(100.0))
-    prior = prior.select((F.col("m") * weight).alias("__a"), ((1 - F.col("m")) * weight).alias("__b"))
-    rate = (F.col("failed") + F.col("__a")) / (F.col("n") + F.col("__a") + F.col("__b"))
-    return hosts.join(F.broadcast(prior)).select(host, "n", "failed", rate.alias("rate"))  # the prior is one row
+    m, v, noise = hosts.agg(F.avg(own), F.var_samp(own), F.avg(own * (1 - own) / F.col("n"))).first()  # three numbers
+    between = (v or 0.0) - (noise or 0.0)  # what the hosts' sizes alone explain is not between them
+    m = m or 0.0
+    weight = min(max(m * (1 - m) / between - 1, 2.0), 1e6) if between > 0 else 100.0
+    rate = (F.col("failed") + m * weight) / (F.col("n") + m * weight + (1 - m) * weight)
+    return hosts.select(host, "n", "failed", rate.alias("rate"))
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
