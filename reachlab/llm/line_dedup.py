@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reachlab.llm._common import ascii_lower, drop_path, lookup_join, work_dir
+from reachlab.llm._common import BROADCAST_ROWS, ascii_lower, drop_path, lookup_join, work_dir
 
 MIN_CHARS = 40
 MIN_DOCS = 5
@@ -119,6 +119,8 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_ch
     for p in [f"{path}/keys", *store.runs(), *store.repeats]:
         drop_path(spark, p)
     drop = spark.read.schema("__k long, __drop array<struct<h1:long,h2:long>>").parquet(f"{path}/drop")
+    size = drop.agg(F.sum(F.size("__drop"))).first()[0] or 0
+    drop = F.broadcast(drop) if size <= BROADCAST_ROWS else drop.hint("merge")  # so the texts move only if they have to
     out = docs.join(drop, F.col(id_col).cast("long") == F.col("__k"), "left").withColumn("__lines", lines(F.col(text_col)))
     own = F.arrays_zip(F.col("__lines").alias("l"), _hashes(F.col("__lines"), min_chars).alias("h"))
     stay = F.transform(F.filter(own, lambda x: x["h"].isNull() | ~F.array_contains("__drop", x["h"])), lambda x: x["l"])
