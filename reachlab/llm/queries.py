@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reachlab.llm import decontam, line_dedup, quality_rules, simhash, spm, toxicity
+from reachlab.llm import decontam, html_extract, langid, line_dedup, quality_clf, quality_rules, simhash, spm, toxicity, warc
 from reachlab.llm._common import table
 
 
@@ -18,10 +18,28 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm.encode(table(spark, sf_dir, "documents"), spm.model_path(), digests=True)
 
 
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_clf.classify(docs, quality_clf.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
@@ -36,7 +54,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_line_dedup, op5_sentencepiece, op8_simhash, op9_quality_rules, op10_toxicity)
+    f.__name__: f for f in (op1_decontaminate, op2_line_dedup, op3_warc, op4_langid, op5_sentencepiece, op6_html, op7_quality, op8_simhash, op9_quality_rules, op10_toxicity)
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -65,6 +83,14 @@ m AS (SELECT k.*, coalesce(k.doc_id <> f.keep, false) AS gone FROM k LEFT JOIN f
 SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY r""",
+    "op3_warc": """
+WITH p AS (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS h FROM pages WHERE page_id IS NOT NULL),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top, sha1(h) AS s FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(('0x' || s[i:i])::INT), 4, '0')), '') AS bits FROM t)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(0, 5), lambda j: bits[5 * i + j + 1:5 * i + j + 1]::INT * (16 // (1 << j))))::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to
+FROM b""",
     "op9_quality_rules": r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(0) || 'null') AS host, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
