@@ -1,4 +1,4 @@
-"""What the trained operators share: the held-out rule, a bounded labelled sample, and logistic calibration."""
+"""What the trained operators share: the held-out rule, fitting on a bounded labelled sample, and logistic calibration."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,27 +19,39 @@ def remainder(id_col: str, modulus: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, per_class: int, id_col: str = "doc_id", text_col: str = "text") -> pd.DataFrame:
-    """Columns id, text, label of at most per_class labelled ids of each class, the first by a hash of the id.
+def fitted(docs: DataFrame, labels: DataFrame, label: str, keep: Column, per_class: int, fit: Callable[[pd.DataFrame], object], id_col: str = "doc_id", text_col: str = "text") -> object:
+    """What fit makes of a frame id, text, label, weight: at most per_class labelled ids of each class, the first by a hash of the id.
 
-    Fitting is bounded by per_class, a documented parameter of each operator; everything else covers all rows. Of an
-    id with several labels the largest counts.
+    Fitting is bounded by per_class, a documented parameter of each operator; everything else covers all rows. weight
+    is how many labelled ids each chosen one stands for, so that calibration sees the classes' true shares. Of an id with
+    several labels the largest counts. The sample goes to one task, which fits; only the model comes back.
     """
     own = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull() & keep).groupBy(F.col(id_col).alias("__i")).agg(F.max(label).alias("__l"))
-    classes = sorted(r[0] for r in own.select("__l").distinct().collect())
+    sizes = {r[0]: r[1] for r in own.groupBy("__l").count().collect()}  # a row a class
     ids: list[tuple] = []
-    for c in classes:
+    for c in sorted(sizes):
         ids += own.filter(F.col("__l") == F.lit(c)).orderBy(F.xxhash64("__i"), "__i").limit(per_class).collect()
     chosen = docs.sparkSession.createDataFrame(ids, own.schema)
     rows = docs.select(F.col(id_col).alias("__i"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__i")  # per_class rows a class at most
-    got = rows.select(F.col("__i").alias("id"), "text", F.col("__l").alias("label")).toPandas().sort_values(["id", "text"], kind="stable")
-    got["text"] = got["text"].fillna("")
-    return got.drop_duplicates(["id"]).reset_index(drop=True)
+    rows = rows.select(F.col("__i").alias("id"), "text", F.col("__l").alias("label"))
 
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [b for b in batches if len(b)]
+        if not parts:
+            return
+        got = pd.concat(parts).fillna({"text": ""}).sort_values(["id", "text"], kind="stable").drop_duplicates(["id"]).reset_index(drop=True)
+        found = got["label"].value_counts()
+        got["weight"] = [sizes[v] / found[v] for v in got["label"]]
+        yield pd.DataFrame({"model": [cloudpickle.dumps(fit(got))]})
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
+    made = rows.repartition(1).mapInPandas(learn, "model binary").collect()
+    return cloudpickle.loads(bytes(made[0][0])) if made else fit(pd.DataFrame({"id": [], "text": [], "label": [], "weight": []}))
+
+
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
     """Weights of [1, x] by Newton's method; one class only gives a constant."""
     a = np.c_[np.ones(len(x)), x]
+    c = np.ones(len(y)) if weight is None else weight / weight.mean() if len(y) else np.ones(0)
     if not len(y) or y.min() == y.max():
         rate = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.5
         return np.r_[np.log(rate / (1 - rate)), np.zeros(a.shape[1] - 1)]
@@ -46,7 +59,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50
     penalty = np.r_[0, np.full(a.shape[1] - 1, ridge * len(y))]
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p) + 1e-6)[:, None]).T @ a + np.diag(penalty) + 1e-9 * np.eye(len(w)), a.T @ (y - p) - penalty * w)
+        step = np.linalg.solve((a * (c * p * (1 - p) + 1e-6)[:, None]).T @ a + np.diag(penalty) + 1e-9 * np.eye(len(w)), a.T @ (c * (y - p)) - penalty * w)
         w += step
         if np.abs(step).max() < 1e-8:
             break

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachlab.llm._common import ship
-from reachlab.llm._learn import labelled_sample, remainder, scored
+from reachlab.llm._learn import fitted, remainder, scored
 
 ship(__name__)
 
@@ -152,8 +152,8 @@ def fit(texts: list[str], labels: list, ids: list, seed: int = 1, rate: float =
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "lang", per_class: int = PER_CLASS) -> Model:
     """Learns from text and non-null label of rows that are not held out: at most per_class of each language."""
-    rows = labelled_sample(docs, docs.select(id_col, label), label, remainder(id_col, MODULUS) != 0, per_class, id_col, text_col)
-    return fit(rows["text"].tolist(), rows["label"].tolist(), rows["id"].tolist())
+    learn = lambda rows: fit(rows["text"].tolist(), rows["label"].tolist(), rows["id"].tolist())
+    return fitted(docs, docs.select(id_col, label), label, remainder(id_col, MODULUS) != 0, per_class, learn, id_col, text_col)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

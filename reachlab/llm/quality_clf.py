@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachlab.llm._common import ship
-from reachlab.llm._learn import labelled_sample, logistic, probability, remainder, scored
+from reachlab.llm._learn import fitted, logistic, probability, remainder, scored
 
 ship(__name__)
 
@@ -78,22 +78,23 @@ class Model:
         return probability(self.weights, self.features(texts))
 
 
-def fit(texts: list[str], labels: list[int], ids: list) -> Model:
+def fit(texts: list[str], labels: list[int], ids: list, weights: list[float] | None = None) -> Model:
+    """weights: what each text stands for, as the classes are sampled apart."""
     y = np.array(labels, int)
-    apart = np.array([zlib.crc32(f"calibrate {i}".encode()) % 2 == 0 for i in ids])
+    apart = np.array([zlib.crc32(f"calibrate {i}".encode()) % 2 == 0 for i in ids], bool)
     half = lambda v: [t for t, l, a in zip(texts, y, apart, strict=True) if l == v and not a]
     model = Model(_dictionary(half(1)), _dictionary(half(0)), np.zeros(10))
     x = model.features([t for t, a in zip(texts, apart, strict=True) if a])
     mean, spread = (x.mean(0), np.maximum(x.std(0), 1e-9)) if len(x) else (np.zeros(9), np.ones(9))
-    w = logistic((x - mean) / spread, y[apart], ridge=1e-4)
+    w = logistic((x - mean) / spread, y[apart], np.array(weights)[apart] if weights else None, ridge=1e-4)
     slopes = w[1:] / spread
     model.weights = np.r_[w[0] - slopes @ mean, slopes]
     return model
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "quality", per_class: int = PER_CLASS) -> Model:
-    rows = labelled_sample(docs, labels, label, remainder(id_col, MODULUS) != 0, per_class, id_col, text_col)
-    return fit(rows["text"].tolist(), rows["label"].astype(int).tolist(), rows["id"].tolist())
+    learn = lambda rows: fit(rows["text"].tolist(), rows["label"].astype(int).tolist(), rows["id"].tolist(), rows["weight"].tolist())
+    return fitted(docs, labels, label, remainder(id_col, MODULUS) != 0, per_class, learn, id_col, text_col)
 
 
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachlab.llm._common import ship
-from reachlab.llm._learn import labelled_sample, logistic, probability, remainder, scored
+from reachlab.llm._learn import fitted, logistic, probability, remainder, scored
 
 ship(__name__)
 
@@ -30,7 +30,7 @@ COST = 20000.0
 #: Toxic training texts that hold a word at least, for it to count as sure.
 SURE = 8
 #: Labelled texts of each class that fitting uses at most.
-PER_CLASS = 4000
+PER_CLASS = 2500
 MODULUS, HELD_OUT = 4, 2
 #: From this score on a text counts as toxic.
 THRESHOLD = 0.3
@@ -160,9 +160,8 @@ class Model:
         whole = _MARKS.sub("", "\n".join(raw)).split("\n")
         own = [w for w in set(whole) if KERNEL <= len(w) <= PART]
         own += {p for w in whole if len(w) > PART for p in words_of(w)}
-        k = self.kernel(own)
-        hot = np.flatnonzero(k.any(1))
-        margin = dict(zip([own[i] for i in hot], (k[hot] @ self.weights + self.bias).tolist(), strict=True))
+        hot, k = _near(self.kernel, own, 0.0)
+        margin = dict(zip(hot, (k @ self.weights + self.bias).tolist(), strict=True))
         self.margins |= dict.fromkeys(raw, self.bias)
         for r, w in zip(raw, whole, strict=True):
             if w in margin:
@@ -186,6 +185,17 @@ class Model:
         return probability(self.calibration, self.margin(texts)[:, None])
 
 
+def _near(kernel: Kernel, words: list[str], least: float, block: int = 20_000) -> tuple[list[str], np.ndarray]:
+    """The words with a kernel value above least, and their values; a block at a time, as nearly all words have none."""
+    kept, rows = [], [np.zeros((0, len(kernel.landmarks)), np.float32)]
+    for i in range(0, len(words), block):
+        k = kernel(words[i : i + block])
+        hot = np.flatnonzero(k.max(1) > least)
+        kept += [words[i + j] for j in hot]
+        rows.append(k[hot])
+    return kept, np.concatenate(rows)
+
+
 def _train_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0, rounds: int = 400) -> tuple[np.ndarray, float]:
     """Squared-hinge linear machine by Nesterov's gradient descent."""
     a = np.c_[x, np.ones(len(x))]
@@ -201,10 +211,11 @@ def _train_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 1
     return w[:-1], float(w[-1])
 
 
-def fit(texts: list[str], labels: list[int], ids: list[int], landmarks: int = LANDMARKS, rounds: int = 3) -> Model:
-    """One class only, or no telling word, gives a model with a constant score."""
+def fit(texts: list[str], labels: list[int], ids: list[int], weights: list[float] | None = None, landmarks: int = LANDMARKS, rounds: int = 3) -> Model:
+    """weights: what each text stands for. One class only, or no telling word, gives a model with a constant score."""
+    weights = weights or [1.0] * len(texts)
     first = {t: i for i, t in reversed(list(enumerate(texts)))}  # copies would make chance words look telling
-    texts, labels, ids = ([v[i] for i in sorted(first.values())] for v in (texts, labels, ids))
+    texts, labels, ids, weights = ([v[i] for i in sorted(first.values())] for v in (texts, labels, ids, weights))
     y = np.array(labels, int)
     bags = [sorted({w for raw in bag(t) for w in words_of(raw)}) for t in texts]
     n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
@@ -213,20 +224,18 @@ def fit(texts: list[str], labels: list[int], ids: list[int], landmarks: int = LA
     worth = {w: np.log(((k + 0.5) / (n1 + 1)) / ((d0[w] + 0.5) / (n0 + 1))) * np.sqrt(k) for w, k in d1.items() if k >= 3 and (k / n1) > 3 * d0[w] / n0}
     chosen = sorted(worth, key=lambda w: (-worth[w], w))[:landmarks]
     if not chosen or y.min() == y.max():
-        return Model([], np.zeros(0), 0.0, logistic(np.zeros((len(y), 1)), y))
+        return Model([], np.zeros(0), 0.0, logistic(np.zeros((len(y), 1)), y, np.array(weights)))
     vocab = sorted(set().union(*bags))
     # words of clean texts that look like telling ones are landmarks too, the most frequent first
-    like = Kernel(chosen)(vocab).max(1)
-    others = sorted((w for w, v in zip(vocab, like, strict=True) if v > 0.1 and d0[w] and w not in chosen), key=lambda w: (-d0[w], w))[: landmarks // 2]
+    alike, _ = _near(Kernel(chosen), vocab, 0.1)
+    others = sorted((w for w in alike if d0[w] and w not in worth), key=lambda w: (-d0[w], w))[: landmarks // 2]
     chosen += others
     kernel = Kernel(chosen)
     gram = kernel(chosen)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2 + 1e-3 * np.eye(len(chosen)))
     white = vectors / np.sqrt(np.maximum(values, 1e-3))
-    k = kernel(vocab)
-    near = k.max(1) > 0.05
-    at = {w: i for i, w in enumerate(np.array(vocab, object)[near])}
-    raw = k[near]
+    kept, raw = _near(kernel, vocab, 0.05)
+    at = {w: i for i, w in enumerate(kept)}
     mapped = raw @ white
     zero = np.zeros((1, mapped.shape[1]))
     seen = [np.array([at[w] for w in b if w in at], int) for b in bags]
@@ -260,14 +269,13 @@ def fit(texts: list[str], labels: list[int], ids: list[int], landmarks: int = LA
         w, bias = _train_svm(x, lab, wt * len(lab), cost=COST)
         score = mapped @ w + bias
     doc = np.array([score[s].max(initial=bias) for s in seen])
-    # classes are sampled apart: their true shares come back by the weights of the labelled rows
     cal = check if len(set(y[check])) == 2 else np.ones(len(y), bool)
-    return Model(chosen, white @ w, bias, logistic(doc[cal][:, None], y[cal]))
+    return Model(chosen, white @ w, bias, logistic(doc[cal][:, None], y[cal], np.array(weights)[cal]))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", per_class: int = PER_CLASS) -> Model:
-    rows = labelled_sample(docs, labels, label, remainder(id_col, MODULUS) != HELD_OUT, per_class, id_col, text_col)
-    return fit(rows["text"].tolist(), rows["label"].astype(int).tolist(), rows["id"].tolist())
+    learn = lambda rows: fit(rows["text"].tolist(), rows["label"].astype(int).tolist(), rows["id"].tolist(), rows["weight"].tolist())
+    return fitted(docs, labels, label, remainder(id_col, MODULUS) != HELD_OUT, per_class, learn, id_col, text_col)
 
 
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
