@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def load() -> None:
     """Imports the modules that register queries."""
-    from reachlab.plans import queries_graph, queries_relational, queries_scalar  # noqa: F401
+    from reachlab.plans import queries_domain, queries_graph, queries_relational, queries_scalar  # noqa: F401
