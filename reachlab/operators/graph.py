@@ -21,6 +21,7 @@ def assemble(builders: list[DataFrame], exclude: str | None = None) -> DataFrame
     edges = reduce(lambda a, b: a.unionByName(b), builders)
     if exclude is not None:
         edges = edges.filter(F.col("mode") != exclude)
+    edges = cut(edges, "edges")  # read for the check and again by the caller
     bad = edge_faults(edges).first()
     if bad["duplicates"] or bad["bad_weights"]:
         raise ValueError(f"{bad['duplicates']} repeated pairs, {bad['bad_weights']} weights that are not positive numbers")
@@ -39,7 +40,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, limit: float | None = N
     smallest node on a shortest path's last step. "local" sends the graph to the tasks, an origin's solve in one task, and is
     taken up to LOCAL_EDGES edges; "frontier" relaxes all origins' frontiers by joins and has no bound but the rounds.
     """
-    e = edges.select("src", "dst", F.col("w").cast("double").alias("w"))
+    e = cut(edges.select("src", "dst", F.col("w").cast("double").alias("w")), "edges")  # every round reads it
     if strategy == "auto":
         strategy = "local" if e.limit(LOCAL_EDGES + 1).count() <= LOCAL_EDGES else "frontier"
     best = _local(e, sources, limit) if strategy == "local" else _frontier(e, sources, limit)
@@ -48,9 +49,9 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, limit: float | None = N
     b = best.select("origin", F.col("node").alias("dst"), F.col("d").alias("db"))
     prev = a.join(e, "src").join(b, ["origin", "dst"]).filter(F.abs(F.col("da") + F.col("w") - F.col("db")) <= 1e-9 * F.greatest(F.col("db"), F.lit(1.0)))
     prev = prev.groupBy("origin", F.col("dst").alias("node")).agg(F.min("src").alias("prev"))
-    zero = sources.select("origin", "node", F.lit(True).alias("__s")).distinct()
-    out = best.join(prev, ["origin", "node"], "left").join(zero, ["origin", "node"], "left")
-    return out.select("origin", "node", "d", F.when(F.col("__s").isNull(), F.col("prev")).alias("prev"))
+    # weights are positive, so what is at distance 0 is a source and has no step before it
+    out = best.join(prev, ["origin", "node"], "left")
+    return out.select("origin", "node", "d", F.when(F.col("d") > 0, F.col("prev")).alias("prev"))
 
 
 def _local(edges: DataFrame, sources: DataFrame, limit: float | None) -> DataFrame:
