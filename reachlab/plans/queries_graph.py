@@ -15,7 +15,6 @@ from reachlab.plans.catalog import query
 from reachlab.plans.fixtures import LEGS, MODES, legs, legs_by_mode, one_origin, points_sql, solve_sql, t, tree_sql, with_point
 from reachlab.plans.queries_scalar import _CELLS, _EDGES, _cells
 
-COUNT = F.count(F.lit(1))
 SP = f"WITH RECURSIVE {LEGS}, {solve_sql('legs')}"
 TREE = f"{SP}, {tree_sql('legs')}"
 _ALL = "SELECT n_nationkey AS origin, n_nationkey AS node FROM nation"
@@ -131,7 +130,7 @@ def t2(spark: SparkSession, d: str) -> DataFrame:
 
 @query("t3_by_level", f"{WALK} SELECT depth, count(*) AS n FROM p GROUP BY 1")
 def t3(spark: SparkSession, d: str) -> DataFrame:
-    return Tr.depth(solved(spark, d)).groupBy("depth").agg(COUNT.alias("n"))
+    return Tr.depth(solved(spark, d)).groupBy("depth").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("t4_mode_minutes", f"{WALK} SELECT node, air, total - air AS surface FROM p")
@@ -167,7 +166,7 @@ def t8(spark: SparkSession, d: str) -> DataFrame:
 
 @query("t9_pick_route", "WITH r AS (SELECT l_suppkey % 20 AS hop, l_orderkey AS route, count(*) AS covered, min(l_linenumber) AS stops FROM lineitem GROUP BY 1, 2) SELECT hop, route FROM r QUALIFY row_number() OVER (PARTITION BY hop ORDER BY covered DESC, stops, route) = 1")
 def t9(spark: SparkSession, d: str) -> DataFrame:
-    r = t(spark, d, "lineitem").groupBy((F.col("l_suppkey") % 20).alias("hop"), F.col("l_orderkey").alias("route")).agg(COUNT.alias("covered"), F.min("l_linenumber").alias("stops"))
+    r = t(spark, d, "lineitem").groupBy((F.col("l_suppkey") % 20).alias("hop"), F.col("l_orderkey").alias("route")).agg(F.count(F.lit(1)).alias("covered"), F.min("l_linenumber").alias("stops"))
     return r.groupBy("hop").agg(F.min(F.struct((-F.col("covered")).alias("c"), "stops", "route")).alias("b")).select("hop", F.col("b.route").alias("route"))
 
 
@@ -216,7 +215,7 @@ def b2(spark: SparkSession, d: str) -> DataFrame:
 @query("b3_adjacency_complete", f"WITH {_XY} SELECT x.cell, count(pr.b) = 8 AS complete, count(pr.b) AS n FROM x LEFT JOIN pr ON pr.a = x.cell GROUP BY 1")
 def b3(spark: SparkSession, d: str) -> DataFrame:
     c = _cells(spark, d)
-    per = _adjacent(c).groupBy(F.col("a").alias("cell")).agg(COUNT.alias("n"))
+    per = _adjacent(c).groupBy(F.col("a").alias("cell")).agg(F.count(F.lit(1)).alias("n"))
     return c.select("cell").join(per, "cell", "left").select("cell", (F.coalesce("n", F.lit(0)) == 8).alias("complete"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
@@ -232,7 +231,7 @@ _BAND = f"len(list_filter({_EDGES}, lambda e: k > e))::INT"
 @query("b5_cumulative", f"WITH {_CELLS}, v AS (SELECT cell, {_BAND} AS band FROM cells) SELECT level, count(*) AS cells FROM v, range(0, 37) r(level) WHERE band <= level GROUP BY 1")
 def b5(spark: SparkSession, d: str) -> DataFrame:
     c = _cells(spark, d).select("cell", C.band_of("k").alias("band"))
-    return B.cumulative(c, 36).groupBy(F.col("level").cast("long").alias("level")).agg(COUNT.alias("cells"))
+    return B.cumulative(c, 36).groupBy(F.col("level").cast("long").alias("level")).agg(F.count(F.lit(1)).alias("cells"))
 
 
 @query("b6_coarse_parents", f"WITH {_CELLS} SELECT (4::BIGINT << 52) | ((((cell >> 26) & 67108863) >> 2) << 26) | ((cell & 67108863) >> 2) AS parent, min({_BAND}) AS band, max({_BAND}) AS slowest FROM cells GROUP BY 1")
@@ -249,7 +248,7 @@ def b10(spark: SparkSession, d: str) -> DataFrame:
 def nodes_per_band(spark: SparkSession, d: str) -> DataFrame:
     """The flagship: route network, one solve, bands, with what is not reached as band -1."""
     nodes = t(spark, d, "nation").select(F.col("n_nationkey").alias("node"))
-    return nodes.join(solved(spark, d).select("node", "d"), "node", "left").groupBy(C.band_of("d").alias("band")).agg(COUNT.alias("nodes"))
+    return nodes.join(solved(spark, d).select("node", "d"), "node", "left").groupBy(C.band_of("d").alias("band")).agg(F.count(F.lit(1)).alias("nodes"))
 
 
 # -- served queries
@@ -382,7 +381,7 @@ def c7(spark: SparkSession, d: str) -> DataFrame:
 
     e = t(spark, d, "events").withColumn("ts", F.date_trunc("second", F.col("ts").cast("timestamp")))
     s = sessions(e, "user_id", "ts", 7200, ["ts", "event_id"]).withColumn("at", F.unix_seconds("ts"))
-    return s.groupBy("user_id", F.col("session").alias("leg")).agg((F.max("at") - F.min("at")).alias("seconds"), COUNT.alias("n")).filter("n >= 2")
+    return s.groupBy("user_id", F.col("session").alias("leg")).agg((F.max("at") - F.min("at")).alias("seconds"), F.count(F.lit(1)).alias("n")).filter("n >= 2")
 
 
 @query("c9_apply_fit", "SELECT p_partkey, round(p_size * [4, 95, 70, 50, 35][p_size % 5 + 1] / 100.0, 6)::DOUBLE AS predicted FROM part")
@@ -412,5 +411,5 @@ def x2(spark: SparkSession, d: str) -> DataFrame:
 
 @query("x7_build_identity", "SELECT 'orders' AS input, count(*) AS rows, sum(o_orderkey)::BIGINT AS keys FROM orders UNION ALL SELECT 'customer', count(*), sum(c_custkey)::BIGINT FROM customer")
 def x7(spark: SparkSession, d: str) -> DataFrame:
-    a = t(spark, d, "orders").agg(F.lit("orders").alias("input"), COUNT.alias("rows"), F.sum("o_orderkey").alias("keys"))
-    return a.unionByName(t(spark, d, "customer").agg(F.lit("customer").alias("input"), COUNT.alias("rows"), F.sum("c_custkey").alias("keys")))
+    a = t(spark, d, "orders").agg(F.lit("orders").alias("input"), F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"))
+    return a.unionByName(t(spark, d, "customer").agg(F.lit("customer").alias("input"), F.count(F.lit(1)).alias("rows"), F.sum("c_custkey").alias("keys")))

@@ -13,7 +13,6 @@ from reachlab.plans.fixtures import LEGS, LINE, legs, lines, points, points_sql,
 from reachlab.plans.materialize import keyed, shared_dir
 from reachlab.sources import tables as T
 
-COUNT = F.count(F.lit(1))
 _P = points_sql()
 _C = points_sql("customer", "c_custkey")
 _HAV = "2 * 6371.0088 * asin(sqrt(least(1.0, pow(sin(radians({b}.lat - {a}.lat) / 2), 2) + cos(radians({a}.lat)) * cos(radians({b}.lat)) * pow(sin(radians({b}.lon - {a}.lon) / 2), 2))))"
@@ -35,7 +34,7 @@ def s1(spark: SparkSession, d: str) -> DataFrame:
 
 @query("s2_keyed_table", "SELECT c_mktsegment, count(*) AS n, sum(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END)::BIGINT AS in_debt FROM customer GROUP BY 1")
 def s2(spark: SparkSession, d: str) -> DataFrame:
-    compute = lambda: t(spark, d, "customer").groupBy("c_mktsegment").agg(COUNT.alias("n"), F.sum((F.col("c_acctbal") < 0).cast("long")).alias("in_debt"))
+    compute = lambda: t(spark, d, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("c_acctbal") < 0).cast("long")).alias("in_debt"))
     return keyed(spark, f"{shared_dir(spark)}/keyed", "segments", {"input": d, "app": spark.sparkContext.applicationId}, compute)
 
 
@@ -108,7 +107,7 @@ def s26(spark: SparkSession, d: str) -> DataFrame:
 
 @query("s27_prose_facts", "SELECT 'Segment ' || c_mktsegment || ' has ' || count(*) || ' customers in ' || count(DISTINCT c_nationkey) || ' countries.' AS fact FROM customer GROUP BY c_mktsegment")
 def s27(spark: SparkSession, d: str) -> DataFrame:
-    g = t(spark, d, "customer").groupBy("c_mktsegment").agg(COUNT.alias("n"), F.count_distinct("c_nationkey").alias("k"))
+    g = t(spark, d, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("c_nationkey").alias("k"))
     return g.select(F.format_string("Segment %s has %d customers in %d countries.", "c_mktsegment", "n", "k").alias("fact"))
 
 
@@ -142,7 +141,7 @@ _RULE = {"narrow": "p_size < 5", "middle": "p_size < 5 OR p_size > 45", "wide":
 def p5(spark: SparkSession, d: str) -> DataFrame:
     part, held = t(spark, d, "part"), {k: F.expr(v) for k, v in _RULE.items()}
     rules = F.array(*[F.when(c, F.lit(k)) for k, c in held.items()])
-    return part.select(F.explode(F.array_compact(rules)).alias("rule")).groupBy("rule").agg(COUNT.alias("n"))
+    return part.select(F.explode(F.array_compact(rules)).alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("p6_first_rule", "SELECT p_partkey, CASE WHEN regexp_matches(p_type, 'BRASS$') THEN 'brass' WHEN regexp_matches(p_type, '^PROMO') THEN NULL WHEN regexp_matches(p_name, '^[a-h]') THEN 'early' ELSE 'late' END AS tier FROM part")
@@ -159,14 +158,14 @@ def p8(spark: SparkSession, d: str) -> DataFrame:
 @query("p10_reasons", "SELECT coalesce(CASE WHEN o_totalprice < 1000 THEN 'cheap' WHEN o_orderstatus = 'P' THEN 'partial' WHEN o_orderpriority = '5-LOW' THEN 'low' END, 'kept') AS reason, count(*) AS n FROM orders GROUP BY 1")
 def p10(spark: SparkSession, d: str) -> DataFrame:
     r = R.reasons(t(spark, d, "orders"), [("cheap", F.col("o_totalprice") < 1000), ("partial", F.col("o_orderstatus") == "P"), ("low", F.col("o_orderpriority") == "5-LOW")])
-    return r.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(COUNT.alias("n"))
+    return r.groupBy(F.coalesce("reason", F.lit("kept")).alias("reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("p11_collapsed_calls", f"SELECT route, count(*) AS calls FROM (SELECT l_orderkey AS route, l_suppkey % 10 AS stop, lag(l_suppkey % 10) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS before FROM {LINE}) WHERE before IS NULL OR before <> stop GROUP BY 1")
 def p11(spark: SparkSession, d: str) -> DataFrame:
     s = stops(spark, d).withColumn("stop", F.col("stop") % 10)
     s = s.withColumn("before", F.lag("stop").over(Window.partitionBy("route").orderBy("seq")))
-    return s.filter(~F.col("before").eqNullSafe(F.col("stop"))).groupBy("route").agg(COUNT.alias("calls"))
+    return s.filter(~F.col("before").eqNullSafe(F.col("stop"))).groupBy("route").agg(F.count(F.lit(1)).alias("calls"))
 
 
 @query("p12_speed_sanity", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity > 0 AND l_extendedprice / 100 * 60 / (l_quantity + 1) <= 320")
@@ -211,13 +210,13 @@ def _hops(spark: SparkSession, d: str) -> DataFrame:
 @query("j2_covered_flag", f"WITH {_COVERED}, c AS (SELECT DISTINCT a, b FROM pairs WHERE timed AND b IS NOT NULL) SELECT p.a, p.b, count(*) AS n, bool_or(c.a IS NOT NULL) AS covered FROM pairs p LEFT JOIN c USING (a, b) WHERE p.b IS NOT NULL GROUP BY 1, 2")
 def j2(spark: SparkSession, d: str) -> DataFrame:
     h = _hops(spark, d)
-    return h.join(h.filter("timed").select("a", "b", F.lit(True).alias("c")).distinct(), ["a", "b"], "left").groupBy("a", "b").agg(COUNT.alias("n"), F.coalesce(F.bool_or("c"), F.lit(False)).alias("covered"))
+    return h.join(h.filter("timed").select("a", "b", F.lit(True).alias("c")).distinct(), ["a", "b"], "left").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.bool_or("c"), F.lit(False)).alias("covered"))
 
 
 @query("j3_anti", f"WITH {_COVERED} SELECT a, b, count(*) AS n FROM pairs p WHERE b IS NOT NULL AND NOT EXISTS (SELECT 1 FROM pairs q WHERE q.timed AND q.a = p.a AND q.b = p.b) GROUP BY 1, 2")
 def j3(spark: SparkSession, d: str) -> DataFrame:
     h = _hops(spark, d)
-    return h.join(h.filter("timed").select("a", "b"), ["a", "b"], "left_anti").groupBy("a", "b").agg(COUNT.alias("n"))
+    return h.join(h.filter("timed").select("a", "b"), ["a", "b"], "left_anti").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("j4_semi", "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
@@ -341,7 +340,7 @@ def a2(spark: SparkSession, d: str) -> DataFrame:
 
 @query("a3_counts", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2")
 def a3(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(COUNT.alias("n"))
+    return t(spark, d, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("a4_first_of_group", "SELECT o_custkey, min(o_orderkey) AS first, arg_min(o_orderpriority, (o_orderdate, o_orderkey)) AS priority FROM orders GROUP BY 1")
@@ -357,7 +356,7 @@ def a5(spark: SparkSession, d: str) -> DataFrame:
 @query("a6_best_extract", "WITH c AS (SELECT l_suppkey AS k, l_returnflag AS g, count(*) AS n FROM lineitem GROUP BY 1, 2) SELECT k, g, n FROM c QUALIFY row_number() OVER (PARTITION BY k ORDER BY n DESC, g) = 1")
 def a6(spark: SparkSession, d: str) -> DataFrame:
     rows = t(spark, d, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_returnflag").alias("g"))
-    return R.pick_group(rows, "k", "g").groupBy("k", "g").agg(COUNT.alias("n"))
+    return R.pick_group(rows, "k", "g").groupBy("k", "g").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("a7_median", "SELECT s_nationkey AS nation, median(s_acctbal) AS med FROM supplier GROUP BY 1")
@@ -367,7 +366,7 @@ def a7(spark: SparkSession, d: str) -> DataFrame:
 
 @query("a8_majority_fill", "WITH c AS (SELECT o_custkey AS k, o_orderpriority AS v, count(*) AS n FROM orders GROUP BY 1, 2) SELECT k, v FROM c QUALIFY row_number() OVER (PARTITION BY k ORDER BY n DESC, v) = 1")
 def a8(spark: SparkSession, d: str) -> DataFrame:
-    c = t(spark, d, "orders").groupBy(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("v")).agg(COUNT.alias("n"))
+    c = t(spark, d, "orders").groupBy(F.col("o_custkey").alias("k"), F.col("o_orderpriority").alias("v")).agg(F.count(F.lit(1)).alias("n"))
     return c.groupBy("k").agg(F.min(F.struct((-F.col("n")).alias("n"), "v")).alias("b")).select("k", F.col("b.v").alias("v"))
 
 
@@ -412,7 +411,7 @@ def a18(spark: SparkSession, d: str) -> DataFrame:
 @query("a19_trimmed_range", "SELECT event_type, l[1 + floor(0.05 * n)::INT] AS low, l[n - floor(0.05 * n)::INT] AS high FROM (SELECT event_type, list_sort(list(value)) AS l, count(value) AS n FROM events GROUP BY 1)")
 def a19(spark: SparkSession, d: str) -> DataFrame:
     # the row at a rank, by counts of distinct values: no group is gathered
-    per = t(spark, d, "events").filter("value IS NOT NULL").groupBy("event_type", "value").agg(COUNT.alias("c"))
+    per = t(spark, d, "events").filter("value IS NOT NULL").groupBy("event_type", "value").agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy("event_type").orderBy("value")
     per = per.withColumn("upto", F.sum("c").over(w)).withColumn("n", F.sum("c").over(Window.partitionBy("event_type")))
     cut = F.floor(0.05 * F.col("n"))
@@ -422,7 +421,7 @@ def a19(spark: SparkSession, d: str) -> DataFrame:
 @query("a20_pattern_merge", f"WITH p AS (SELECT l_orderkey, string_agg((l_suppkey % 4)::VARCHAR, '-' ORDER BY l_linenumber) AS pattern, sum(l_quantity) AS q FROM {LINE} GROUP BY 1) SELECT pattern, count(*) AS trips, min(q)::BIGINT AS least FROM p GROUP BY 1")
 def a20(spark: SparkSession, d: str) -> DataFrame:
     p = stops(spark, d).groupBy("route").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "stop"))), lambda x: (x["stop"] % 4).cast("string")), "-").alias("pattern"), F.sum("qty").alias("q"))
-    return p.groupBy("pattern").agg(COUNT.alias("trips"), F.min("q").cast("long").alias("least"))
+    return p.groupBy("pattern").agg(F.count(F.lit(1)).alias("trips"), F.min("q").cast("long").alias("least"))
 
 
 # -- windows
@@ -452,7 +451,7 @@ def w4(spark: SparkSession, d: str) -> DataFrame:
 @query("w5_sessions", "WITH g AS (SELECT *, coalesce(epoch(ts)::BIGINT - lag(epoch(ts)::BIGINT) OVER (PARTITION BY user_id ORDER BY ts, event_id) > 900, true)::INT AS new FROM (SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM events)), s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM g) SELECT user_id, session::BIGINT AS session, count(*) AS n, min(event_id) AS first FROM s GROUP BY 1, 2")
 def w5(spark: SparkSession, d: str) -> DataFrame:
     e = t(spark, d, "events").withColumn("ts", F.date_trunc("second", F.col("ts").cast("timestamp")))
-    return R.sessions(e, "user_id", "ts", 900, ["ts", "event_id"]).groupBy("user_id", "session").agg(COUNT.alias("n"), F.min("event_id").alias("first"))
+    return R.sessions(e, "user_id", "ts", 900, ["ts", "event_id"]).groupBy("user_id", "session").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"))
 
 
 @query("w7_rollover", f"WITH c AS (SELECT l_orderkey AS route, l_linenumber AS seq, (l_partkey * 37 % 1440)::BIGINT AS clock FROM {LINE}), b AS (SELECT *, coalesce(clock < lag(clock) OVER (PARTITION BY route ORDER BY seq), false)::INT AS back FROM c) SELECT route, seq, (clock + 1440 * sum(back) OVER (PARTITION BY route ORDER BY seq))::BIGINT AS minutes FROM b")

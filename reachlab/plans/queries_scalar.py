@@ -14,7 +14,6 @@ from reachlab.plans.fixtures import LINE, lines, points, points_sql, t, with_poi
 from reachlab.plans.queries_relational import hav
 
 _P, _C = points_sql(), points_sql("customer", "c_custkey")
-COUNT = F.count(F.lit(1))
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
@@ -103,7 +102,7 @@ def f8(spark: SparkSession, d: str) -> DataFrame:
 
 @query("f9_bucket_right", "SELECT l_quantity AS q, (l_quantity >= 10)::INT + (l_quantity >= 20)::INT + (l_quantity >= 40)::INT AS bucket, count(*) AS n FROM lineitem GROUP BY 1, 2")
 def f9(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "lineitem").groupBy(F.col("l_quantity").alias("q"), C.bucket_right("l_quantity", (10, 20, 40)).alias("bucket")).agg(COUNT.alias("n"))
+    return t(spark, d, "lineitem").groupBy(F.col("l_quantity").alias("q"), C.bucket_right("l_quantity", (10, 20, 40)).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _cases(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -220,7 +219,7 @@ def f24(spark: SparkSession, d: str) -> DataFrame:
 def f25(spark: SparkSession, d: str) -> DataFrame:
     line = F.array(F.struct("lat", "lon"), F.struct(F.col("lat2").alias("lat"), F.col("lon2").alias("lon")))
     p = _pairs(spark, d).select("k", F.explode(C.densify(line, 500.0)).alias("p"))
-    return p.groupBy("k").agg(COUNT.alias("points"), F.round(F.sum("p.lat"), 4).alias("lats"))
+    return p.groupBy("k").agg(F.count(F.lit(1)).alias("points"), F.round(F.sum("p.lat"), 4).alias("lats"))
 
 
 @query("f26_arrays", "SELECT doc_id, len(string_split(text, ' ')) AS words, string_split(text, ' ')[1] AS first FROM documents")
@@ -375,7 +374,7 @@ _CELLS = f"cells AS (SELECT {_QC} AS cell, min(k) AS k, count(*) AS n FROM ({_C}
 
 
 def _cells(spark: SparkSession, d: str) -> DataFrame:
-    return points(spark, d, "customer", "c_custkey").groupBy(K.quad_cell("lat", "lon", 6).alias("cell")).agg(F.min("k").alias("k"), COUNT.alias("n"))
+    return points(spark, d, "customer", "c_custkey").groupBy(K.quad_cell("lat", "lon", 6).alias("cell")).agg(F.min("k").alias("k"), F.count(F.lit(1)).alias("n"))
 
 
 @query("r2_refine", f"WITH {_CELLS} SELECT cell, cell AS base, false AS fine FROM cells WHERE n < 2 UNION ALL SELECT (7::BIGINT << 52) | ((((cell >> 26) & 67108863) * 2 + i) << 26) | ((cell & 67108863) * 2 + j), cell, true FROM cells, range(0, 2) a(i), range(0, 2) b(j) WHERE n >= 2")
@@ -414,7 +413,7 @@ def r3(spark: SparkSession, d: str) -> DataFrame:
 
 @query("r1_dense_and_straddling", "SELECT l_suppkey AS cell, min(l_linenumber) <= 1 OR count(*) > 600 AS dense, count(DISTINCT l_returnflag) > 1 AS straddles FROM lineitem GROUP BY 1")
 def r1(spark: SparkSession, d: str) -> DataFrame:
-    c = t(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("cell")).agg(F.min("l_linenumber").alias("best"), COUNT.alias("n"), F.collect_set("l_returnflag").alias("parts"))
+    c = t(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("cell")).agg(F.min("l_linenumber").alias("best"), F.count(F.lit(1)).alias("n"), F.collect_set("l_returnflag").alias("parts"))
     return c.select("cell", ((F.col("best") <= 1) | (F.col("n") > 600)).alias("dense"), (F.size("parts") > 1).alias("straddles"))
 
 
