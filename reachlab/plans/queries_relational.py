@@ -254,10 +254,10 @@ def j8(spark: SparkSession, d: str) -> DataFrame:
     return S.nearest(left, right, "k", "o", 800.0).withColumn("km", F.round("km", 6))
 
 
-@query("j10_nearest_any", f"WITH a AS ({_C}), b AS ({_P} WHERE s_suppkey % 9 = 0), m AS (SELECT a.k, b.k AS o, round({hav('a', 'b')}, 9) AS km FROM a, b) SELECT k, arg_min(o, struct_pack(km := km, o := o)) AS o, round(min(km), 6) AS km FROM m GROUP BY k")
+@query("j10_nearest_any", f"WITH a AS ({_C}), b AS ({_P} WHERE s_suppkey % 9 = 0), m AS (SELECT a.k, b.k AS o, round({hav('a', 'b')}, 9) AS km FROM a, b) SELECT k, arg_min(o, struct_pack(km := km, o := o)) AS o, round(min(km), 3) AS km FROM m GROUP BY k")
 def j10(spark: SparkSession, d: str) -> DataFrame:
     right = points(spark, d).filter("k % 9 = 0").select(F.col("k").alias("o"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
-    return S.nearest_any(points(spark, d, "customer", "c_custkey"), right, "k", "o", 2000.0).withColumn("km", F.round("km", 6))
+    return S.nearest_any(points(spark, d, "customer", "c_custkey"), right, "k", "o", 2000.0).withColumn("km", F.round("km", 3))
 
 
 @query("j11_radius_pairs", f"WITH a AS ({_P}) SELECT a.k AS a, b.k AS b, round({hav('a', 'b')}, 6) AS km FROM a, a b WHERE a.k < b.k AND {hav('a', 'b')} <= 1200")

@@ -27,9 +27,9 @@ _PAIRS = f"a AS (SELECT p.*, p.k % 10 + 1 AS o FROM ({_C}) p), b AS ({_P})"
 _JOIN = "FROM a JOIN b ON b.k = a.o"
 
 
-@query("f1_haversine", f"WITH {_PAIRS} SELECT a.k, round({hav('a', 'b')}, 6) AS km, round({hav('a', 'b')} / 6371.0088 * 6371.0, 6) AS km_round {_JOIN}")
+@query("f1_haversine", f"WITH {_PAIRS} SELECT a.k, round({hav('a', 'b')}, 3) AS km, round({hav('a', 'b')} / 6371.0088 * 6371.0, 3) AS km_round {_JOIN}")
 def f1(spark: SparkSession, d: str) -> DataFrame:
-    return _pairs(spark, d).select("k", F.round(C.haversine_km("lat", "lon", "lat2", "lon2"), 6).alias("km"), F.round(C.haversine_km("lat", "lon", "lat2", "lon2", C.R_ROUND), 6).alias("km_round"))
+    return _pairs(spark, d).select("k", F.round(C.haversine_km("lat", "lon", "lat2", "lon2"), 3).alias("km"), F.round(C.haversine_km("lat", "lon", "lat2", "lon2", C.R_ROUND), 3).alias("km_round"))
 
 
 @query("f2_flat_distance", f"WITH {_PAIRS} SELECT a.k, round(sqrt(pow((b.lat - a.lat) * 111.0, 2) + pow((b.lon - a.lon) * 111.0 * cos(radians(a.lat)), 2)), 6) AS km, round(sqrt(pow((b.lat - a.lat) * 111.32, 2) + pow((fmod(b.lon - a.lon + 540.0, 360.0) - 180.0) * 111.32 * cos(radians(a.lat)), 2)), 6) AS wrapped {_JOIN}")
