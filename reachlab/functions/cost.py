@@ -67,6 +67,8 @@ def transfer_min(least, wait) -> Column:
 
 @dataclass(frozen=True)
 class Ferry:
+    """Fixed calibration values of ferries."""
+
     speed_kmh: float = 29.1
     berth_min: float = 11.2
     terminal_min: float = 30.0
