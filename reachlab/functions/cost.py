@@ -36,6 +36,7 @@ class Air:
     weight: dict = field(default_factory=lambda: {"large": 1.0, "medium": 0.55, "small": 0.25})
     processing: dict = field(default_factory=lambda: {"large": 70.0, "medium": 55.0, "small": 40.0})
     disembark: dict = field(default_factory=lambda: {"large": 30.0, "medium": 22.0, "small": 15.0})
+    connection: dict = field(default_factory=lambda: {"large": 75.0, "medium": 50.0, "small": 35.0})
 
 
 AIR = Air()
@@ -76,7 +77,7 @@ class Ferry:
     interval_decay: float = 1.5137
     knee_km: float = 8.0
     trusted_kmh: tuple = (5.0, 120.0)
-    interval_min: tuple = (5.0, 20160.0)
+    interval_min: tuple = (5.0, 527040.0)
     least_per_week: float = 0.1
 
 

@@ -291,10 +291,10 @@ def m3(spark: SparkSession, d: str) -> DataFrame:
     return _air(spark, d).select("k", M.expected_wait_min(M.flights_per_week("km", "dep", "arr")).alias("wait"))
 
 
-@query("m4_transfer", f"WITH {_PAIRS}, {_AIR} SELECT dep, greatest(max({_map('dep', large=60.0, medium=45.0, small=30.0)}), median(round_even(10080 / {_FREQ} / 2, 0)))::DOUBLE AS minutes FROM m GROUP BY dep")
+@query("m4_transfer", f"WITH {_PAIRS}, {_AIR} SELECT dep, greatest(max({_map('dep', large=75.0, medium=50.0, small=35.0)}), median(round_even(10080 / {_FREQ} / 2, 0)))::DOUBLE AS minutes FROM m GROUP BY dep")
 def m4(spark: SparkSession, d: str) -> DataFrame:
     w = _air(spark, d).withColumn("wait", M.expected_wait_min(M.flights_per_week("km", "dep", "arr")))
-    least = F.max(M.pick("dep", {"large": 60.0, "medium": 45.0, "small": 30.0}))
+    least = F.max(M.pick("dep", M.AIR.connection))
     return w.groupBy("dep").agg(least.alias("least"), F.median("wait").alias("wait")).select("dep", M.transfer_min("least", "wait").alias("minutes"))
 
 
@@ -343,7 +343,7 @@ def m14(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("m17_ferry_crossing", "WITH c AS (SELECT o_orderkey AS k, (o_orderkey % 900 + 1)::DOUBLE AS km, CASE WHEN o_orderkey % 3 = 0 THEN (o_orderkey % 400)::DOUBLE END AS tagged, CASE WHEN o_orderkey % 4 = 0 THEN (o_orderkey % 3000)::DOUBLE END AS every, (o_orderkey % 13) / 12.0::DOUBLE AS share FROM orders), "
-       "s AS (SELECT *, CASE WHEN tagged > 0 AND 60 * km / tagged BETWEEN 5 AND 120 THEN tagged ELSE 11.2::DOUBLE + 60 * km / 29.1::DOUBLE END AS sail, greatest(10080 / CASE WHEN every BETWEEN 5 AND 20160 THEN every ELSE 60 * 0.008915::DOUBLE * pow(greatest(km, 8.0), 1.5137) END * share, 0.1) AS n FROM c) SELECT k, round(round_even(10080 / n / 2, 0) + sail + 30 + 10, 6)::DOUBLE AS minutes FROM s")
+       "s AS (SELECT *, CASE WHEN tagged > 0 AND 60 * km / tagged BETWEEN 5 AND 120 THEN tagged ELSE 11.2::DOUBLE + 60 * km / 29.1::DOUBLE END AS sail, greatest(10080 / CASE WHEN every BETWEEN 5 AND 527040 THEN every ELSE 60 * 0.008915::DOUBLE * pow(greatest(km, 8.0), 1.5137) END * share, 0.1) AS n FROM c) SELECT k, round(round_even(10080 / n / 2, 0) + sail + 30 + 10, 6)::DOUBLE AS minutes FROM s")
 def m17(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey")
     c = t(spark, d, "orders").select(k.alias("k"), (k % 900 + 1).cast("double").alias("km"), F.when(k % 3 == 0, (k % 400).cast("double")).alias("tagged"), F.when(k % 4 == 0, (k % 3000).cast("double")).alias("every"), ((k % 13) / F.lit(12.0)).alias("share"))
