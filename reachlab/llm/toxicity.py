@@ -1,6 +1,7 @@
 """Toxicity by a subsequence string kernel with Nyström landmarks and a linear support vector machine.
 
-A text is a bag of words (letters only; letters set apart by spaces or marks are put together). The kernel of two
+A text is a bag of words (letters only; letters set apart by spaces or marks are put together, and what stands between marks
+is a word too). The kernel of two
 words counts common subsequences of KERNEL letters, each weighted by DECAY to the length it spans in both, so that gaps and
 inserted letters cost little. Landmarks are the words that tell toxic training texts from others; kernel values to
 them, whitened, are a word's features. The machine is trained on each sentence's most telling word, and a text's score is
@@ -12,6 +13,8 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from itertools import combinations
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -40,7 +43,6 @@ PART = 24
 ROWS = 2500
 
 _JUNK = re.compile(r"[\W\d_]+")
-_MARKS = re.compile(r"[^\w\n]+|[\d_]+")
 _APART = re.compile(r"(?<![^\W_])[^\W\d_](?:[^\w\n]{1,3}[^\W\d_]){2,}(?![^\W_])")
 
 
@@ -80,64 +82,89 @@ def _self(words: list[str]) -> np.ndarray:
 class Kernel:
     """Kernel values of words to landmarks: a Gaussian of the normalised subsequence kernel's distance.
 
-    A word has 0 at a landmark, without computing it, if it lacks the landmark's letters (one may lack, if those are
-    over five), a third of its neighbouring letter pairs, or a like length.
+    All landmarks' subsequences stand in a table, so that a word's own are looked up instead of being compared landmark
+    by landmark; none is left out. A word whose highest value is below FAINT has 0 everywhere.
     """
 
     SHARP = 2.0
+    #: What fitting leaves out: words without a higher value.
+    FAINT = 0.05
 
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
-        self.codes = _codes(landmarks)
         self.norm = np.sqrt(np.maximum(_self(landmarks), 1e-12))
-        self.sizes = np.array([len(w) for w in landmarks])
-        self.bits = self._bits(self.codes)
-        letters = np.bitwise_count(self.bits).astype(int)
-        self.need = np.where(letters > 5, letters - 1, letters)
-        self.twos = self._bits(self._pairs(self.codes))
-        self.need_twos = np.ceil(np.bitwise_count(self.twos) / 3).astype(int)
-
-    @staticmethod
-    def _bits(codes: np.ndarray) -> np.ndarray:
-        """A bit for each letter's remainder: letters in common are bits in common."""
-        bits = np.where(codes > 0, np.uint64(1) << (codes % 61).astype(np.uint64), np.uint64(0))
-        return np.bitwise_or.reduce(bits, axis=1) if len(codes) else np.zeros(0, np.uint64)
-
-    @staticmethod
-    def _pairs(codes: np.ndarray) -> np.ndarray:
-        return np.where(codes[:, 1:] > 0, codes[:, :-1] * 31 + codes[:, 1:], 0)
-
-    def __call__(self, words: list[str], block: int = 20_000) -> np.ndarray:
+        found: dict[str, dict[int, float]] = {}
+        for z, w in enumerate(landmarks):
+            for ix in combinations(range(len(w)), KERNEL):
+                held = found.setdefault("".join(w[i] for i in ix), {})
+                held[z] = held.get(z, 0.0) + DECAY ** (ix[-1] - ix[0] + 1)
+        self.letters = np.array(sorted({ord(c) for u in found for c in u}), np.uint32)
+        at = {chr(c): i + 1 for i, c in enumerate(self.letters)}
+        # a step for each letter of a subsequence: from the state so far and the letter to the next state, 0 for none
+        self.steps, states = [], {"": 0}
+        for k in range(1, KERNEL + 1):
+            begun = {u: i + 1 for i, u in enumerate(sorted({u[:k] for u in found}))}
+            step = np.zeros((max(states.values()) + 1, len(at) + 1), np.int32)
+            for u, i in begun.items():
+                step[states[u[:-1]], at[u[-1]]] = i
+            self.steps.append(step)
+            states = begun
+        held = [sorted(found[u].items()) for u in sorted(found)]
+        self.count = np.array([0, *map(len, held)])
+        self.first = np.concatenate([[0], np.cumsum(self.count)[:-1]])
+        self.at = np.array([z for h in held for z, _ in h], int)
+        self.weight = np.array([v for h in held for _, v in h])
+
+    def _shared(self, codes: np.ndarray) -> np.ndarray:
+        """The unnormalised kernel of words of one length to all landmarks."""
+        n, marks = len(codes), len(self.landmarks)
+        if not len(self.letters):
+            return np.zeros((n, marks))
+        place = np.searchsorted(self.letters, codes).clip(max=len(self.letters) - 1)
+        letter = np.where(self.letters[place] == codes, place + 1, 0)
+        ix = np.array(list(combinations(range(codes.shape[1]), KERNEL)))
+        span = DECAY ** (ix[:, -1] - ix[:, 0] + 1.0)
+        state = self.steps[0][0][letter[:, ix[:, 0]]]
+        for k in range(1, KERNEL):
+            state = self.steps[k][state, letter[:, ix[:, k]]]
+        w, c = np.nonzero(state)
+        u = state[w, c]
+        times = self.count[u]
+        ends = np.cumsum(times)
+        j = np.repeat(self.first[u] - ends + times, times) + np.arange(ends[-1] if len(ends) else 0)
+        return np.bincount(np.repeat(w * marks, times) + self.at[j], np.repeat(span[c], times) * self.weight[j], n * marks).reshape(n, marks)
+
+    def __call__(self, words: list[str], cells: int = 1_000_000) -> np.ndarray:
         out = np.zeros((len(words), len(self.landmarks)), np.float32)
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for at in range(0, len(order), block):
-            part = order[at : at + block]
-            codes, sizes = _codes([words[i] for i in part]), np.array([len(words[i]) for i in part])
-            bits = self._bits(codes)
-            ok = np.bitwise_count(bits[:, None] & self.bits[None]) >= self.need[None]
-            ok &= np.bitwise_count(self._bits(self._pairs(codes))[:, None] & self.twos[None]) >= self.need_twos[None]
-            ok &= (sizes[:, None] >= 0.6 * self.sizes[None]) & (sizes[:, None] <= 1.8 * self.sizes[None]) & (sizes[:, None] >= KERNEL)
-            w, z = np.nonzero(ok)
-            own = np.zeros(len(part), np.float32)
-            hit = np.unique(w)
-            for i in range(0, len(hit), 4000):
-                own[hit[i : i + 4000]] = _pair_kernel(codes[hit[i : i + 4000]], codes[hit[i : i + 4000]])
-            values = np.zeros(len(w), np.float32)
-            for i in range(0, len(w), 4000):
-                values[i : i + 4000] = _pair_kernel(codes[w[i : i + 4000]], self.codes[z[i : i + 4000]])
-            cosine = values / (np.sqrt(np.maximum(own[w], 1e-12)) * self.norm[z])
-            out[np.array(part)[w], z] = np.exp(2 * self.SHARP * (np.minimum(cosine, 1) - 1))
+        least = 1 + np.log(self.FAINT) / (2 * self.SHARP)
+        by: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            if len(w) >= KERNEL:
+                by.setdefault(len(w), []).append(i)
+        for size, own in by.items():
+            block = max(1, cells // comb(size, KERNEL))
+            for i in range(0, len(own), block):
+                part = np.array(own[i : i + block])
+                codes = _codes([words[j] for j in part])
+                cosine = self._shared(codes) / self.norm
+                # a word's norm is that of its adjacent letters at least
+                hot = np.flatnonzero(cosine.max(1) >= 0.999 * least * DECAY**KERNEL * np.sqrt(size - KERNEL + 1))
+                cosine = cosine[hot] / np.sqrt(_pair_kernel(codes[hot], codes[hot]))[:, None]
+                value = np.exp(2 * self.SHARP * (np.minimum(cosine, 1) - 1))
+                out[part[hot]] = np.where(value.max(1, keepdims=True) >= self.FAINT, value, 0)
         return out
 
 
-def words_of(raw: str) -> list[str]:
-    """What the kernel compares of a raw word: its letters; of long words, overlapping parts; of very short ones, nothing."""
-    w = raw if raw.isalpha() else _JUNK.sub("", raw)
-    if len(w) < KERNEL:
-        return []
+def _parts(w: str) -> list[str]:
     return [w] if len(w) <= PART else [w[i : i + PART] for i in range(0, len(w) - PART // 2, PART // 2)]
 
 
+def words_of(raw: str) -> list[str]:
+    """What the kernel compares of a raw word: its letters together, and those between marks; of long ones, overlapping parts; of very short ones, nothing."""
+    pieces = [raw] if raw.isalpha() else [_JUNK.sub("", raw), *_JUNK.split(raw)]
+    return [p for w in dict.fromkeys(pieces) if len(w) >= KERNEL for p in _parts(w)]
+
+
 def bag(text: str) -> set[str]:
     """Distinct raw words of a text, and what letters set apart come to together."""
     low = text.lower()
@@ -157,17 +184,10 @@ class Model:
         return self.__dict__ | {"margins": {}}
 
     def _learn(self, raw: list[str]) -> None:
-        whole = _MARKS.sub("", "\n".join(raw)).split("\n")
-        own = [w for w in set(whole) if KERNEL <= len(w) <= PART]
-        own += {p for w in whole if len(w) > PART for p in words_of(w)}
-        hot, k = _near(self.kernel, own, 0.0)
+        held = [words_of(r) for r in raw]
+        hot, k = _near(self.kernel, list(set().union(*held)), 0.0)
         margin = dict(zip(hot, (k @ self.weights + self.bias).tolist(), strict=True))
-        self.margins |= dict.fromkeys(raw, self.bias)
-        for r, w in zip(raw, whole, strict=True):
-            if w in margin:
-                self.margins[r] = margin[w]
-            elif len(w) > PART:
-                self.margins[r] = max(margin.get(p, self.bias) for p in words_of(w))
+        self.margins |= {r: max((margin.get(w, self.bias) for w in h), default=self.bias) for r, h in zip(raw, held, strict=True)}
 
     def margin(self, texts: list[str]) -> np.ndarray:
         """Highest margin over each text's words; the bias, if there is none."""
