@@ -53,3 +53,13 @@ def keys():
 def test_pairs_of_every_route(spark, routes):
     want = sorted((o, i, a, j, b) for o, s in routes.items() for i, a, _ in s for j, b, _ in s if i < j)
     assert sorted((r.route, r.i, r.from_stop, r.j, r.to_stop) for r in run(spark, "s20_pairs_in_order")) == want
+
+
+def test_timetable_of_every_trip(spark, routes):
+    want = defaultdict(list)
+    for s in routes.values():
+        for i, a, p in s:
+            for j, b, q in s:
+                if i < j and q > p and a != b:
+                    want[a, b].append(q - p)
+    assert {(r.a, r.b): (r.minutes, r.trips) for r in run(spark, "m22_timetabled_pairs")} == {k: (min(v), len(v)) for k, v in want.items()}
