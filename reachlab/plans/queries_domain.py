@@ -184,7 +184,7 @@ _OWN = hav("own", "o").replace("o.lat", "own.y").replace("o.lon", "own.x")
 def p9(spark: SparkSession, d: str) -> DataFrame:
     from reachlab.functions.columns import haversine_km
 
-    a = points(spark, d, "customer", "c_custkey").filter("k % 3 = 0")
+    a = points(spark, d, "customer", "c_custkey")
     b = points(spark, d).select(F.col("k").alias("o"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
     near = S.nearest_any(a, b, "k", "o", 2000.0).select("k", F.col("km").alias("near"))
     own = a.withColumn("o", F.col("k") % 40 + 1).join(b, "o").withColumn("km", haversine_km("lat", "lon", "lat2", "lon2"))

@@ -63,3 +63,12 @@ def test_timetable_of_every_trip(spark, routes):
                 if i < j and q > p and a != b:
                     want[a, b].append(q - p)
     assert {(r.a, r.b): (r.minutes, r.trips) for r in run(spark, "m22_timetabled_pairs")} == {k: (min(v), len(v)) for k, v in want.items()}
+
+
+def test_every_customer_is_judged(spark, keys):
+    customers, suppliers = keys
+    want = {}
+    for c in customers:
+        if (o := c % 40 + 1) in suppliers:
+            want[c] = km(c, o) > 5000 and min(km(c, s) for s in suppliers) < 0.5 * km(c, o)
+    assert {r.k: r.wrong for r in run(spark, "p9_misresolved")} == want
