@@ -72,3 +72,25 @@ def test_every_customer_is_judged(spark, keys):
         if (o := c % 40 + 1) in suppliers:
             want[c] = km(c, o) > 5000 and min(km(c, s) for s in suppliers) < 0.5 * km(c, o)
     assert {r.k: r.wrong for r in run(spark, "p9_misresolved")} == want
+
+
+def test_nearest_of_all_suppliers(spark, keys):
+    customers, suppliers = keys
+    want = {c: min((round(km(c, s), 6), s) for s in suppliers) for c in customers}
+    got = {r.k: r for r in run(spark, "j10_nearest_any")}
+    assert {k: r.o for k, r in got.items()} == {k: s for k, (_, s) in want.items()}
+    assert all(abs(r.km - want[k][0]) < 2e-3 for k, r in got.items())
+
+
+def test_nearest_widens_from_a_small_radius(spark, keys):
+    customers, suppliers = keys
+    at = lambda ks, *names: spark.createDataFrame([(k, *place(k)) for k in ks], f"{names[0]} long, {names[1]} double, {names[2]} double")
+    got = S.nearest_any(at(customers[:20], "k", "lat", "lon"), at(suppliers, "o", "lat2", "lon2"), "k", "o", 300.0).collect()
+    assert {r.k: r.o for r in got} == {c: min((km(c, s), s) for s in suppliers)[1] for c in customers[:20]}
+
+
+def test_polygons_of_all_suppliers(spark, keys):
+    customers, suppliers = keys
+    inside = lambda p, q: q[0] <= p[0] < q[0] + 20 and q[1] <= p[1] < q[1] + 40
+    held = {c: [s for s in suppliers if inside(place(c), place(s))] for c in customers}
+    assert {r.k: r.polygon for r in run(spark, "j12_point_in_polygon")} == {c: min(v) for c, v in held.items() if v}
