@@ -65,8 +65,8 @@ def g4(spark: SparkSession, d: str) -> DataFrame:
 _THIN = "thin AS (SELECT DISTINCT s_nationkey AS src, c_nationkey AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_orderkey % 500 = 1)"
 
 
-def _thin(spark: SparkSession, d: str) -> DataFrame:
-    line = t(spark, d, "lineitem").filter("l_orderkey % 500 = 1").join(t(spark, d, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
+def _flows(spark: SparkSession, d: str) -> DataFrame:
+    line = t(spark, d, "lineitem").join(t(spark, d, "supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
     line = line.join(t(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey")).join(t(spark, d, "customer"), F.col("c_custkey") == F.col("o_custkey"))
     return line.select(F.col("s_nationkey").alias("src"), F.col("c_nationkey").alias("dst")).distinct()
 
@@ -74,7 +74,7 @@ def _thin(spark: SparkSession, d: str) -> DataFrame:
 @query("g5_components", f"""WITH RECURSIVE {_THIN}, both_ways AS (SELECT src, dst FROM thin UNION SELECT dst, src FROM thin),
 c(node, component) USING KEY (node) AS (SELECT n_nationkey, n_nationkey FROM nation UNION (SELECT e.dst, min(c.component) FROM c JOIN both_ways e ON e.src = c.node LEFT JOIN recurring.c r ON r.node = e.dst WHERE c.component < r.component GROUP BY e.dst)) SELECT node, component FROM c""")
 def g5(spark: SparkSession, d: str) -> DataFrame:
-    return G.components(_nations(spark, d).select("node"), _thin(spark, d))
+    return G.components(_nations(spark, d).select("node"), _flows(spark, d))
 
 
 @query("g6_degrees", f"WITH {LEGS}, e AS (SELECT src AS node, dst AS o, 1 AS out, 0 AS inn FROM legs UNION ALL SELECT dst, src, 0, 1 FROM legs) SELECT node, sum(out)::BIGINT AS out_degree, sum(inn)::BIGINT AS in_degree, count(DISTINCT o) AS neighbours FROM e GROUP BY 1")

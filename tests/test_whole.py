@@ -94,3 +94,15 @@ def test_polygons_of_all_suppliers(spark, keys):
     inside = lambda p, q: q[0] <= p[0] < q[0] + 20 and q[1] <= p[1] < q[1] + 40
     held = {c: [s for s in suppliers if inside(place(c), place(s))] for c in customers}
     assert {r.k: r.polygon for r in run(spark, "j12_point_in_polygon")} == {c: min(v) for c, v in held.items() if v}
+
+
+def test_components_of_all_lines(spark):
+    pairs = read("SELECT DISTINCT s_nationkey, c_nationkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey")
+    want = {n: n for (n,) in read("SELECT n_nationkey FROM nation")}
+    for _ in want:
+        for a, b in pairs:
+            want[a] = want[b] = min(want[a], want[b])
+    assert {r.node: r.component for r in run(spark, "g5_components")} == want
+    largest = max(list(want.values()).count(c) for c in want.values())
+    gate = run(spark, "v4_connectivity")[0]
+    assert abs(gate.observed - (1 - largest / len(want))) < 1e-9 and gate.ok == (gate.observed <= 0.01)
