@@ -61,6 +61,13 @@ def test_simhash_against_brute_force(spark):
     assert S.report(df.limit(0)).count() == 0
 
 
+def test_only_the_near_copy_of_a_repeated_id_goes(spark):
+    copy, other = " ".join(f"w{k}" for k in range(150)), " ".join(f"v{k}" for k in range(150))
+    rows = [(1, copy), (7, copy), (7, other), (7, other), (8, copy), (None, copy)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(repr, map(tuple, S.keep_one(df).collect()))) == sorted(map(repr, [rows[0], rows[2], rows[3], rows[5]]))
+
+
 @pytest.mark.parametrize("bucket", [64, 4])
 def test_links_connect_all_near_fingerprints(spark, monkeypatch, bucket):
     monkeypatch.setattr(S, "BUCKET", bucket)
