@@ -95,7 +95,7 @@ def m20(spark: SparkSession, d: str) -> DataFrame:
     return rules.overflies(l, ["2", "3"])
 
 
-@query("m22_timetabled_pairs", f"WITH c AS (SELECT l_orderkey AS trip, l_linenumber AS seq, l_suppkey AS stop, l_linenumber * 10 + l_partkey % 7 AS minute FROM {LINE} WHERE l_orderkey % 5 = 0) SELECT a.stop AS a, b.stop AS b, min(b.minute - a.minute)::BIGINT AS minutes, count(*) AS trips FROM c a JOIN c b ON a.trip = b.trip AND a.seq < b.seq WHERE b.minute > a.minute AND a.stop <> b.stop GROUP BY 1, 2")
+@query("m22_timetabled_pairs", f"WITH c AS (SELECT l_orderkey AS trip, l_linenumber AS seq, l_suppkey AS stop, l_linenumber * 10 + l_partkey % 7 AS minute FROM {LINE}) SELECT a.stop AS a, b.stop AS b, min(b.minute - a.minute)::BIGINT AS minutes, count(*) AS trips FROM c a JOIN c b ON a.trip = b.trip AND a.seq < b.seq WHERE b.minute > a.minute AND a.stop <> b.stop GROUP BY 1, 2")
 def m22(spark: SparkSession, d: str) -> DataFrame:
     c = lines(spark, d).select(F.col("l_orderkey").alias("trip"), F.col("l_linenumber").alias("seq"), F.col("l_suppkey").alias("stop"), (F.col("l_linenumber") * 10 + F.col("l_partkey") % 7).alias("minute"))
     return rules.timetabled_pairs(c)
@@ -180,7 +180,7 @@ def a21(spark: SparkSession, d: str) -> DataFrame:
 _OWN = hav("own", "o").replace("o.lat", "own.y").replace("o.lon", "own.x")
 
 
-@query("p9_misresolved", f"WITH a AS (SELECT * FROM ({points_sql('customer', 'c_custkey')}) WHERE k % 3 = 0), b AS ({points_sql()}), own AS (SELECT a.*, b.lat AS y, b.lon AS x FROM a JOIN b ON b.k = a.k % 40 + 1), n AS (SELECT a.k, min({hav('a', 'b')}) AS near FROM a, b GROUP BY 1) SELECT own.k, {_OWN} > 5000 AND near < 0.5 * {_OWN} AS wrong FROM own JOIN n USING (k)")
+@query("p9_misresolved", f"WITH a AS ({points_sql('customer', 'c_custkey')}), b AS ({points_sql()}), own AS (SELECT a.*, b.lat AS y, b.lon AS x FROM a JOIN b ON b.k = a.k % 40 + 1), n AS (SELECT a.k, min({hav('a', 'b')}) AS near FROM a, b GROUP BY 1) SELECT own.k, {_OWN} > 5000 AND near < 0.5 * {_OWN} AS wrong FROM own JOIN n USING (k)")
 def p9(spark: SparkSession, d: str) -> DataFrame:
     from reachlab.functions.columns import haversine_km
 
