@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import sys
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,13 +34,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders made so far in this process, until clean() removes them.
+MADE: list[str] = []
+
+
 def work_dir(spark: SparkSession, what: str) -> str:
-    """A fresh folder below spark.checkpoint.dir, which driver and executors share; set here only where unset."""
+    """A fresh folder below spark.checkpoint.dir, which driver and executors share.
+
+    Where it is unset, a local folder serves if all runs on this machine; on a cluster that is an error.
+    """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = "/tmp/checkpoints/reachlab"
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    MADE.append(path)
+    return path
+
+
+def clean(spark: SparkSession, since: int = 0) -> None:
+    """Removes the folders made after the first `since`; what was read from them must be done with."""
+    while len(MADE) > since:
+        drop_path(spark, MADE.pop())
+
+
+def boxed(df: DataFrame, **named: Column) -> DataFrame:
+    """The named columns, and all of df's own as one struct "row": names of the two cannot clash. unboxed() takes them out again."""
+    return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"), *[v.alias(k) for k, v in named.items()])
+
+
+def unboxed(df: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of a struct "row", those named by `changed` replaced."""
+    return df.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in df.schema["row"].dataType.names])
 
 
 def staged(df: DataFrame, what: str) -> DataFrame:
@@ -72,7 +104,7 @@ def hash128(*cols: Column) -> Column:
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spread: Column) -> DataFrame:
-    """Joins to a table whose keys are distinct. The table is broadcast only if counting shows that it is small.
+    """Joins to a table whose keys are distinct, best a staged one, as it is counted first. It is broadcast only if that shows that it is small.
 
     Otherwise both sides are shuffled on key and salt: left rows of a hot key are dealt over SALTS tasks by
     ``spread``, and each right row is copied SALTS times.
@@ -82,3 +114,13 @@ def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spre
     left = left.withColumn("__salt", F.pmod(F.hash(spread), F.lit(SALTS)))
     right = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return left.join(right.hint("shuffle_merge"), [*on, "__salt"], how).drop("__salt")
+
+
+def parts(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices whose texts in a column have about size bytes, a longer text alone, so that no more is unpacked at a time."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    i = 0
+    while i < batch.num_rows:
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + size, "right")))
+        yield batch.slice(i, j - i)
+        i = j

@@ -6,11 +6,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from reachlab.llm._common import ship
+from reachlab.llm._common import lookup_join, parts, ship, staged
 
 ship(__name__)
 
@@ -27,12 +30,13 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str, keep: Column, per_cla
     several labels the largest counts. The sample goes to one task, which fits; only the model comes back.
     """
     own = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull() & keep).groupBy(F.col(id_col).alias("__i")).agg(F.max(label).alias("__l"))
+    own = staged(own, "labelled")
+    # Spark limits each partition's classes before it shuffles them: of a class that all rows have, no more than per_class a task move
+    order = Window.partitionBy("__l").orderBy(F.xxhash64("__i"), "__i")
+    chosen = staged(own.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= per_class).drop("__n"), "labelled-sample")
     sizes = {r[0]: r[1] for r in own.groupBy("__l").count().collect()}  # a row a class
-    ids: list[tuple] = []
-    for c in sorted(sizes):
-        ids += own.filter(F.col("__l") == F.lit(c)).orderBy(F.xxhash64("__i"), "__i").limit(per_class).collect()
-    chosen = docs.sparkSession.createDataFrame(ids, own.schema)
-    rows = docs.select(F.col(id_col).alias("__i"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "__i")  # per_class rows a class at most
+    rows = docs.select(F.col(id_col).alias("__i"), F.col(text_col).alias("text"))
+    rows = lookup_join(rows, chosen, ["__i"], "inner", F.col("__i"))
     rows = rows.select(F.col("__i").alias("id"), "text", F.col("__l").alias("label"))
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -70,14 +74,16 @@ def probability(w: np.ndarray, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(w[0] + x @ w[1:], -30, 30)))
 
 
-def scored(docs: DataFrame, score: Callable[[list[str]], dict[str, object]], columns: str, id_col: str, text_col: str, held_out: Column, rows: int = 500) -> DataFrame:
-    """id, held_out and what score() gives for the texts, some at a time; null texts are given as empty."""
+def scored(docs: DataFrame, score: Callable[[list[str]], dict[str, object]], columns: str, id_col: str, text_col: str, held_out: Column, chars: int = 1_000_000) -> DataFrame:
+    """id, held_out and what score() gives for the texts, about chars characters at a time; null texts are given as empty."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, len(batch), rows):
-                part = batch.iloc[i : i + rows]
-                yield pd.DataFrame({"__id": part["__id"], "held_out": part["held_out"]} | score(part["__text"].fillna("").tolist()))
+            for part in parts(batch, 2, chars):
+                texts = [t or "" for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_pandas(pd.DataFrame({"__id": part.column(0).to_pandas(integer_object_nulls=True), "held_out": part.column(1).to_pandas()} | score(texts)), schema, preserve_index=False)
 
     own = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("__text"))
-    return own.mapInPandas(run, f"__id long, held_out boolean, {columns}").withColumnRenamed("__id", id_col)
+    kinds = f"__id long, held_out boolean, {columns}"
+    schema = to_arrow_schema(StructType.fromDDL(kinds))
+    return own.mapInArrow(run, kinds).withColumnRenamed("__id", id_col)

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reachlab.llm._common import BROADCAST_ROWS, NON_WORD, ascii_lower, shifted, words
+from reachlab.llm._common import BROADCAST_ROWS, NON_WORD, SALTS, ascii_lower, boxed, shifted, staged, unboxed, words
 
 NGRAM = 10
 
@@ -30,20 +30,33 @@ def gram_table(benchmark: DataFrame, n: int = NGRAM, id_col: str = "item_id", te
     return grams.withColumn("__hash", F.xxhash64("__gram"))
 
 
-def _hits(texts: DataFrame, keys: list[str], grams: DataFrame, n: int) -> DataFrame:
+def _hits(texts: DataFrame, keys: list[str], grams: DataFrame, n: int) -> DataFrame | None:
+    """keys, __pos, __len, __items of every occurrence of a gram.
+
+    Up to BROADCAST_ROWS grams the table is broadcast. Beyond, windows and grams are shuffled on hash and salt, so that a
+    window that very many texts share is dealt over SALTS tasks.
+    """
+    grams = staged(grams, "grams")
     lengths = sorted(r[0] for r in grams.select(F.size("__gram")).distinct().collect())  # n values at most
-    small = grams.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    if not lengths:
+        return None
     found = []
+    small = grams.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     for k in lengths:
-        own = grams.filter(F.size("__gram") == k)
-        side = F.broadcast(own) if small else own.hint("shuffle_merge")
-        # one pass of shifted slices: no lambda is called for a window, and hashing and probing stay in generated code
+        # shifted slices: no lambda is called for a window, and hashing and probing stay in generated code
         windows = texts.select(*keys, F.posexplode(shifted(F.col("__w"), k)).alias("__pos", "__win"))
         windows = windows.select(*keys, "__pos", *[F.col("__win").getField(str(i)).alias(f"__w{i}") for i in range(k)])
         hashed = windows.withColumn("__h", F.xxhash64(*[f"__w{i}" for i in range(k)]))  # as Spark hashes the array of them
-        same = reduce(Column.__and__, [F.col(f"__w{i}") == F.col("__gram")[i] for i in range(k)], F.col("__h") == F.col("__hash"))
-        found.append(hashed.join(side, same, "inner").select(*keys, "__pos", F.lit(k).alias("__len"), "__items"))
-    return reduce(DataFrame.unionByName, found) if found else None
+        same = reduce(Column.__and__, [F.col(f"__w{i}") == F.col("__gram")[i] for i in range(k)])
+        own = grams.filter(F.size("__gram") == k)
+        if small:
+            met = hashed.join(F.broadcast(own), F.col("__h") == F.col("__hash"), "inner")
+        else:
+            hashed = hashed.withColumn("__s", F.pmod(F.hash("__pos"), F.lit(SALTS)))
+            salted = own.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            met = hashed.join(salted.hint("shuffle_merge"), (F.col("__h") == F.col("__hash")) & (F.col("__s") == F.col("__salt")), "inner")
+        found.append(met.filter(same).select(*keys, "__pos", F.lit(k).alias("__len"), "__items"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def measure(docs: DataFrame, benchmark: DataFrame, n: int = NGRAM, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -92,16 +105,17 @@ def remove(docs: DataFrame, benchmark: DataFrame, unit: str = "documents", n: in
     if unit not in ("documents", "spans"):
         raise ValueError(f"unit must be documents or spans, not {unit!r}")
     m = measure(docs, benchmark, n=n, id_col=id_col, text_col=text_col, **how).filter("n_hit > 0")
-    m = m.select(F.col(id_col).alias("__k"), F.col("__t").alias("__kt"), F.col("spans").alias("__spans")).dropDuplicates(["__k", "__kt"])
-    on = F.col(id_col).eqNullSafe(F.col("__k")) & (F.xxhash64(F.col(text_col)) == F.col("__kt"))
+    m = m.select(F.col(id_col).alias("k"), F.col("__t").alias("kt"), "spans").dropDuplicates(["k", "kt"])
+    own = boxed(docs, id=F.col(id_col), t=F.xxhash64(F.col(text_col)))
+    on = F.col("id").eqNullSafe(F.col("k")) & (F.col("t") == F.col("kt"))
     if unit == "documents":
-        return docs.join(m, on, "left_anti")
-    joined = docs.join(m, on, "left")
+        return unboxed(own.join(m, on, "left_anti"))
+    joined = own.join(m, on, "left")
     # the text as word and separator pieces by turns: words[i] follows seps[i]
-    seps = F.split(F.col(text_col), r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-    own = words(F.col(text_col), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-    hit = F.array_distinct(F.flatten(F.transform("__spans", lambda s: F.sequence(s["pos"], s["pos"] + s["len"] - 1))))
+    whole = F.col("row")[text_col]
+    seps = F.split(whole, r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    pieces = words(whole, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    hit = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["pos"], s["pos"] + s["len"] - 1))))
     piece = lambda w, i: F.when(F.array_contains(hit, i), F.when(F.array_contains(hit, i - 1), F.lit("")).otherwise(F.get(seps, i))).otherwise(F.concat(F.get(seps, i), w))
-    cut = F.concat(F.array_join(F.transform(own, piece), ""), F.element_at(seps, -1))
-    text = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(cut)
-    return joined.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    cut = F.concat(F.array_join(F.transform(pieces, piece), ""), F.element_at(seps, -1))
+    return unboxed(joined, **{text_col: F.when(F.col("spans").isNull(), whole).otherwise(cut)})

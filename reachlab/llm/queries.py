@@ -28,7 +28,7 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spm.encode(table(spark, sf_dir, "documents"), spm.model_path(), digests=True)
+    return spm.encode(table(spark, sf_dir, "documents"), spm.model_path(), outputs=("ids_sha256", "decoded_sha256"))
 
 
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:

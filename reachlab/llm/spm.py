@@ -1,33 +1,32 @@
 """SentencePiece BPE encoding and decoding in vectorised merge rounds.
 
 A normalised text falls into words that no merge can cross. Each distinct word of a batch is encoded once: all words'
-symbols lie in one flat array; a round looks up the rank of every neighbouring pair, takes each word's smallest rank
-at its leftmost place, merges there, and compacts the array; words without a pair drop out.
+symbols lie in one flat array; a round looks up the rank of every neighbouring pair, takes each word's smallest rank,
+merges all its pairs of that rank from the left at once, and compacts the array; words without a pair drop out. Merging at once
+is what merging one by one would give as long as no merge makes a pair of that rank or a smaller one beside it: at the
+first that does, the word's further merges wait for the next round.
 """
 
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachlab.llm._common import ship
+from reachlab.llm._common import parts, ship
 
 ship(__name__)
 
 MARK = "▁"
-#: Longer words are merged one pair at a time on a heap, in n log n steps.
-LONG = 64
-#: Words whose codes a task keeps between batches.
-CACHE = 400_000
-#: Characters of new words merged in one go.
-FLAT = 4_000_000
+#: Bytes, about, of words and their codes that a task keeps between batches.
+CACHE = 48 << 20
+#: Characters of new words merged in one go, a longer word alone; bytes of texts coded in one go.
+FLAT, TEXTS = 1 << 18, 1 << 20
 
 
 class PieceBpe:
@@ -68,12 +67,13 @@ class PieceBpe:
         self.char = {p: i for p, i in self.ids.items() if len(p) == 1} | {c: n + k for k, c in enumerate(loose)}
         self.size = n + len(loose)
         symbol = self.ids | {c: n + k for k, c in enumerate(loose)}
-        pairs = [(symbol[p[:k]] * self.size + symbol[p[k:]], rank[i], i) for i in normal for p in (self.pieces[i],) for k in range(1, len(p)) if p[:k] in symbol and p[k:] in symbol]
-        pairs.sort()
-        self.pair_key = np.array([x[0] for x in pairs], np.int64)
-        self.pair_rank = np.array([x[1] for x in pairs] + [NO_PAIR], np.int64)
-        self.pair_id = np.array([x[2] for x in pairs] + [-1], np.int64)
-        self.merges = {k: (r, i) for k, r, i in pairs}
+        cuts = ((p[:k], p[k:], i) for i in normal for p in (self.pieces[i],) for k in range(1, len(p)))
+        pairs = np.fromiter(((symbol[a] * self.size + symbol[b], rank[i], i) for a, b, i in cuts if a in symbol and b in symbol), np.dtype((np.int64, 3)))
+        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+        self.pair_key = pairs[:, 0].copy()
+        self.pair_rank = np.append(pairs[:, 1], NO_PAIR)
+        self.pair_id = np.append(pairs[:, 2], -1)
+        self.loose = {i: c for c, i in self.char.items() if i >= n}
         # characters in no piece stand alone, so words can be cut around them; line ends are the common ones
         self.cut = "\n" if "\n" not in self.char else ""
         self.word = re.compile(f"{MARK}+[^{MARK}{self.cut}]*|[^{MARK}{self.cut}]+" + (f"|{self.cut}+" if self.cut else ""))
@@ -89,31 +89,6 @@ class PieceBpe:
         ok = (self.pair_key[at] == key) & (left < self.size) & (right < self.size)
         return np.where(ok, at, len(self.pair_key))
 
-    def _heap(self, word: str) -> list[int]:
-        """Symbols of one long word: the best pair first, the leftmost of equals."""
-        sym = [self.char.get(c, self.size + ord(c)) for c in word]
-        prev, nxt = list(range(-1, len(sym) - 1)), [*range(1, len(sym)), -1]
-        heap: list[tuple[int, int, int, int, int]] = []
-
-        def offer(i: int, j: int) -> None:
-            if sym[i] < self.size and sym[j] < self.size and (m := self.merges.get(sym[i] * self.size + sym[j])):
-                heapq.heappush(heap, (m[0], i, j, sym[i], sym[j]))
-
-        for i in range(len(sym) - 1):
-            offer(i, i + 1)
-        while heap:
-            _, i, j, a, b = heapq.heappop(heap)
-            if sym[i] != a or sym[j] != b or nxt[i] != j:
-                continue
-            sym[i], sym[j] = self.merges[a * self.size + b][1], -1
-            nxt[i] = nxt[j]
-            if nxt[i] >= 0:
-                prev[nxt[i]] = i
-                offer(i, nxt[i])
-            if prev[i] >= 0:
-                offer(prev[i], i)
-        return [s for s in sym if s >= 0]
-
     def _rounds(self, words: list[str]) -> list[list[int]]:
         sizes = np.array([len(w) for w in words])
         codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -137,9 +112,26 @@ class PieceBpe:
                 heads, counts, least = None, counts[least < NO_PAIR], least[least < NO_PAIR]
                 if not len(sym):
                     break
-            hit = np.flatnonzero(rank == np.repeat(least, counts))
-            at = hit[np.r_[True, owner[hit[1:]] != owner[hit[:-1]]]]  # the leftmost of each word
-            sym[at] = self.pair_id[pair[at]]
+            level = np.repeat(least, counts)
+            hit = np.flatnonzero(rank == level)
+            # of pairs that share a symbol every other one, from the left; a pair never reaches into the next word
+            new_run = np.r_[True, np.diff(hit) > 1]
+            place = np.arange(len(hit))
+            at = hit[(place - np.maximum.accumulate(np.where(new_run, place, 0))) % 2 == 0]
+            merged, own = self.pair_id[pair[at]], owner[at]
+            left, right = np.maximum(at - 1, 0), np.minimum(at + 2, len(sym) - 1)
+            follows = np.r_[False, at[1:] == at[:-1] + 2]  # the symbol before it has just been merged
+            before = np.where(follows, np.r_[merged[:1], merged[:-1]], sym[left])
+            ranks = [
+                np.where((at > 0) & (owner[left] == own), self.pair_rank[self._find(before, merged)], NO_PAIR),
+                np.where((at + 2 < len(sym)) & (owner[right] == own), self.pair_rank[self._find(merged, sym[right])], NO_PAIR),
+            ]
+            early = (np.minimum(*ranks) <= level[at]).cumsum()
+            early = np.r_[0, early[:-1]]  # merges before it, in any word, that make an early pair
+            first = np.r_[True, own[1:] != own[:-1]]
+            keep = early == np.maximum.accumulate(np.where(first, early, 0))
+            at, merged = at[keep], merged[keep]
+            sym[at] = merged
             keep = np.ones(len(sym), bool)
             keep[at + 1] = False
             new = at - np.arange(len(at))  # their places once the right halves are gone
@@ -160,28 +152,27 @@ class PieceBpe:
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each word, each given once."""
-        out: dict[str, list[int]] = {}
-        short = [w for w in words if len(w) <= LONG]
+        out: list[list[int]] = [[]] * len(words)
+        order = sorted(range(len(words)), key=lambda i: len(words[i]))  # like lengths take like numbers of rounds
         start = 0
-        while start < len(short):
+        while start < len(order):
             stop, n = start, 0
-            while stop < len(short) and n < FLAT:
-                n += len(short[stop])
+            while stop < len(order) and (stop == start or n + len(words[order[stop]]) <= FLAT):
+                n += len(words[order[stop]])
                 stop += 1
-            out |= zip(short[start:stop], self._rounds(short[start:stop]), strict=True)
+            for i, ids in zip(order[start:stop], self._rounds([words[i] for i in order[start:stop]]), strict=True):
+                out[i] = ids
             start = stop
-        out |= {w: self._bytes(self._heap(w)) for w in words if len(w) > LONG}
-        return [out[w] for w in words]
+        return out
 
     def _bytes(self, symbols: list[int]) -> list[int]:
         """Symbols that are no piece become the bytes of their characters."""
-        loose = {i: c for c, i in self.char.items() if i >= len(self.pieces)}
         got: list[int] = []
         for s in symbols:
             if s < len(self.pieces):
                 got.append(s)
             else:
-                got.extend(self.byte_id[b] for b in (loose[s] if s < self.size else chr(s - self.size)).encode())
+                got.extend(self.byte_id[b] for b in (self.loose[s] if s < self.size else chr(s - self.size)).encode())
         return [int(x) for x in got]
 
     def encode(self, text: str | None) -> list[int]:
@@ -229,43 +220,56 @@ class PieceBpe:
 NO_PAIR = 1 << 40
 
 
-def _coder(model_file: str, want_text: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+class _Known:
+    """Codes of words: their ids as text, and what they decode to. Forgotten when they outgrow CACHE."""
+
+    def __init__(self, model: PieceBpe):
+        self.model, self.codes, self.bytes = model, {}, 0
+        self.digits = [str(i) for i in range(len(model.pieces))]
+
+    def __call__(self, words: set[str]) -> dict[str, tuple[str, str]]:
+        fresh = list(words - self.codes.keys())
+        if self.bytes > CACHE:
+            self.codes, self.bytes, fresh = {}, 0, list(words)
+        for w, ids in zip(fresh, self.model.encode_words(fresh), strict=True):
+            self.codes[w] = got = (" ".join([self.digits[i] for i in ids]), self.model.pieces_text(ids))
+            self.bytes += 300 + len(w) + len(got[0]) + len(got[1])
+        return self.codes
+
+
+OUTPUTS = {"ids": "string", "decoded": "string", "ids_sha256": "string", "decoded_sha256": "string"}
+
+
+def _coder(model_file: str, outputs: tuple[str, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = PieceBpe(model_file)
-        known: dict[str, tuple[str, str]] = {}
-        digits = [str(i) for i in range(len(model.pieces))]
+        known = _Known(model)
+        eos = str(model.eos)
         for batch in batches:
-            for start in range(0, len(batch), 1000):
-                part = batch.iloc[start : start + 1000]
-                texts = part["__text"].fillna("").tolist()
-                split = [model.words(t) for t in texts]
-                fresh = list(dict.fromkeys(w for ws in split for w in ws if w not in known))
-                if len(known) + len(fresh) > CACHE:
-                    known.clear()
-                    fresh = list(dict.fromkeys(w for ws in split for w in ws))
-                for w, ids in zip(fresh, model.encode_words(fresh), strict=True):
-                    known[w] = (" ".join([digits[i] for i in ids]), model.pieces_text(ids))
-                ids = [" ".join([*[known[w][0] for w in ws], str(model.eos)]) for ws in split]
-                back = ["".join([known[w][1] for w in ws]) for ws in split]
+            for part in parts(batch, 1, TEXTS):
+                split = [model.words(t or "") for t in part.column(1).to_pylist()]
+                codes = known(set().union(*split))
+                ids = [" ".join([*[codes[w][0] for w in ws], eos]) for ws in split]
+                back = ["".join([codes[w][1] for w in ws]) for ws in split]
                 back = [t[1:] if t[:1] == " " else t for t in back]
-                out = {"__id": part["__id"], "n_tokens": [s.count(" ") + 1 for s in ids]}
-                if want_text:
-                    out |= {"ids": ids, "decoded": back}
-                else:
-                    out |= {"ids_sha256": [hashlib.sha256(s.encode()).hexdigest() for s in ids], "decoded_sha256": [hashlib.sha256(s.encode()).hexdigest() for s in back]}
-                yield pd.DataFrame(out)
+                got = {"ids": ids, "decoded": back}
+                for name, texts in (("ids_sha256", ids), ("decoded_sha256", back)):
+                    if name in outputs:
+                        got[name] = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+                n = pa.array([t.count(" ") + 1 for t in ids], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0), n, *[pa.array(got[o], pa.string()) for o in outputs]], names=["__id", "n_tokens", *outputs])
 
     return run
 
 
-def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
-    """One row per input row: id, n_tokens, and ids (array of int) and decoded, or with digests their SHA-256.
+def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", outputs: tuple[str, ...] = ("ids", "decoded")) -> DataFrame:
+    """One row per input row: id, n_tokens, and the outputs, of ids (array of int), decoded, and the SHA-256 of either.
 
-    Null and empty texts give the end id alone and decode to "". Rows are coded one by one, repeated ones included.
+    Null and empty texts give the end id alone and decode to "". Rows are coded one by one, repeated ones included; a null
+    id stays null. Only the id and the text are read, whatever other columns there are. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
-    ends = "ids_sha256 string, decoded_sha256 string" if digests else "ids string, decoded string"
-    out = rows.mapInPandas(_coder(model_file, not digests), f"__id long, n_tokens long, {ends}")
+    out = rows.mapInArrow(_coder(model_file, outputs), ", ".join(["__id long", "n_tokens long", *[f"{o} {OUTPUTS[o]}" for o in outputs]]))
     cols = [F.col(c) if c != "ids" else F.split("ids", " ").cast("array<int>").alias("ids") for c in out.columns[1:]]
     return out.select(F.col("__id").alias(id_col), *cols)
 

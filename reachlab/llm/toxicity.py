@@ -1,11 +1,13 @@
 """Toxicity by a subsequence string kernel with Nyström landmarks and a linear support vector machine.
 
-A text is a bag of words (letters only; letters set apart by spaces or marks are put together, and what stands between marks
-is a word too). The kernel of two
-words counts common subsequences of KERNEL letters, each weighted by DECAY to the length it spans in both, so that gaps and
-inserted letters cost little. Landmarks are the words that tell toxic training texts from others; kernel values to
-them, whitened, are a word's features. The machine is trained on each sentence's most telling word, and a text's score is
-its highest word's margin, calibrated.
+A text is the set of its windows: words (letters only), what stands between marks inside them, and short neighbouring
+words put together, so that insults spelt apart are seen whole. A window carries marks of its begin and end, runs of one
+letter count once, and a word with one letter between all others is also looked at without it. The kernel of two windows counts common subsequences of KERNEL symbols, each weighted by DECAY to the
+length it spans in both, over their own kernels to the power NORM; gaps and inserted letters cost little. The kernel is
+computed wherever it can differ from zero. Landmarks are drawn at random from the windows of labelled sentences, the more
+likely the more surely their frequency differs between the classes (odds by the cube of its chi-square); some are
+drawn from windows of clean sentences, the more likely the more they are like those. Kernel values to them, whitened, are the features of a linear
+machine over windows; a text's score is its highest window's margin, calibrated.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -24,132 +27,210 @@ from reachlab.llm._learn import fitted, logistic, probability, remainder, scored
 
 ship(__name__)
 
-KERNEL = 3
-DECAY = 0.5
-LANDMARKS = 96
-COST = 20000.0
-#: Toxic training texts that hold a word at least, for it to count as sure.
-SURE = 8
+KERNEL = 6
+DECAY = 0.9
+#: Share of a landmark's symbols that a window must hold, in order, to be like it at all.
+PART = 0.65
+#: The kernel is divided by both windows' own kernels to this power: 0 would favour long windows, 0.5 erase gapped ones.
+NORM = 0.2
+#: Landmarks, and how many of them are drawn from windows that clean sentences hold more often, by likeness to the others.
+LANDMARKS, ALIKE = 96, 24
+COST = 200000.0
+#: A window stands for toxic texts in training if this share of them holds it, in so many different sentences, and it is so much rarer in others.
+SHARE, SURE, RATIO = 0.01, 5, 20
+#: What clean windows weigh in training, all in all, against 1 for toxic ones.
+CAUTION = 6
 #: Labelled texts of each class that fitting uses at most.
-PER_CLASS = 2500
+PER_CLASS = 1200
 MODULUS, HELD_OUT = 4, 2
 #: From this score on a text counts as toxic.
 THRESHOLD = 0.3
-#: Words longer than this are looked at in overlapping parts.
-PART = 24
-#: Texts whose new words are compared in one go.
-ROWS = 2500
-
+#: Longer words are looked at in windows of twice this many letters that overlap by half: subsequences that span more weigh next to nothing.
+SPAN = 24
+#: Neighbouring words of so many characters each are also looked at together in twos, and of so many in all in threes.
+SHORT = {2: 3, 3: 6}
+#: Characters of texts, and windows, that are looked at in one go.
+CHARS, BLOCK = 2_000_000, 20_000
+
+BEGIN, END = "\x02", "\x03"
 _JUNK = re.compile(r"[\W\d_]+")
 _APART = re.compile(r"(?<![^\W_])[^\W\d_](?:[^\w\n]{1,3}[^\W\d_]){2,}(?![^\W_])")
+_RUN = re.compile(r"(.)\1+")
+_SHORTS = re.compile(r"(?<!\S)\S{1,3}(?:[ \t]\S{1,3})+(?!\S)")
+_SENTENCE = re.compile(r"[.!?\n]+")
 
 
 def _codes(words: list[str]) -> np.ndarray:
     width = max(map(len, words), default=1)
-    return np.frombuffer("".join(w.ljust(width, "\0") for w in words).encode("utf-32-le"), np.uint32).reshape(len(words), width)
+    return np.frombuffer("".join([w.ljust(width, "\0") for w in words]).encode("utf-32-le"), np.uint32).reshape(len(words), width)
 
 
 def _pair_kernel(s: np.ndarray, t: np.ndarray) -> np.ndarray:
-    """Gap-weighted subsequence kernel of rows s[i], t[i] (character codes, 0 for none)."""
-    s, t = np.ascontiguousarray(s.T), np.ascontiguousarray(t.T)  # pairs last: every step is over adjacent numbers
-    m, k, n = len(s), len(t), s.shape[1]
-    square = np.float32(DECAY * DECAY)
-    same = [[((s[i] == t[j]) & (s[i] != 0)).astype(np.float32) * square for j in range(k)] for i in range(m)]
-    match = same
-    for _ in range(1, KERNEL):
-        above = [np.zeros(n, np.float32)] * (k + 1)
+    """Gap-weighted subsequence kernel of rows s[i], t[i] (character codes, 0 for none).
+
+    A common subsequence's q-th symbol has q - 1 before it and KERNEL - q behind, so of each level only a band is filled.
+    """
+    if len(s) and max(s.max(), t.max()) < 1 << 16:
+        s, t = s.astype(np.uint16), t.astype(np.uint16)  # half as much to compare
+    s, t = np.array(s.T, order="C"), np.array(t.T, order="C")  # pairs last: every step is over adjacent numbers
+    rows, cols, n = len(s) - KERNEL + 1, len(t) - KERNEL + 1, s.shape[1]
+    if rows < 1 or cols < 1:
+        return np.zeros(n, np.float32)
+    decay, square = np.float32(DECAY), np.float32(DECAY * DECAY)
+    none, spare = np.zeros(n, np.float32), np.empty(n, np.float32)
+    same: dict[tuple[int, int], np.ndarray] = {}
+    s[s == 0] = 1  # none is like nothing
+
+    def alike(i: int, j: int) -> np.ndarray:
+        if (i, j) not in same:
+            same[i, j] = (s[i] == t[j]).astype(np.float32)
+            same[i, j] *= square
+        return same[i, j]
+
+    def level(q: int, before: list[list[np.ndarray]] | None) -> list[list[np.ndarray]]:
+        """Weights of common subsequences of q + 1 symbols that end at each cell of the band."""
         got = []
-        for i in range(m):
-            line, row = [np.zeros(n, np.float32)], []
-            for j in range(k):
-                row.append(same[i][j] * above[j])
-                line.append(match[i][j] + DECAY * (above[j + 1] + line[j]) - square * above[j])
+        for a in range(rows):
+            row = []
+            for b in range(cols):
+                hit = alike(q + a, q + b)
+                row.append(hit if before is None else np.multiply(before[a][b], hit, out=before[a][b]))
             got.append(row)
+        return got
+
+    match = level(0, None)
+    for q in range(1, KERNEL):
+        above = [none] * (cols + 1)
+        sums = []
+        for a in range(rows):
+            line = [none]
+            for b in range(cols):  # all that ends here or before, decayed by the distance
+                x = above[b + 1] + line[b]
+                x *= decay
+                x += match[a][b]
+                if a and b:
+                    np.multiply(above[b], square, out=spare)
+                    x -= spare
+                line.append(x)
             above = line
-        match = got
+            sums.append(line[1:])
+        match = level(q, sums)
     return sum(x for row in match for x in row)
 
 
-def _self(words: list[str]) -> np.ndarray:
-    if not words:
-        return np.zeros(0, np.float32)
-    c = _codes(words)
-    return _pair_kernel(c, c)
+def _self(codes: np.ndarray) -> np.ndarray:
+    step = 4000
+    got = [_pair_kernel(codes[i : i + step], codes[i : i + step]) for i in range(0, len(codes), step)]
+    return np.maximum(np.concatenate([*got, np.zeros(0, np.float32)]), 1e-12)
 
 
 class Kernel:
-    """Kernel values of words to landmarks: a Gaussian of the normalised subsequence kernel's distance.
+    """Kernel values of windows to landmarks.
 
-    A word has 0 at a landmark, without computing it, if it lacks the landmark's letters (one may lack, if those are
-    over five), a third of its neighbouring letter pairs, or a like length.
+    A value is zero if the longest common subsequence is shorter than KERNEL, or by definition than PART of the landmark:
+    letters put in never shorten it. So it is if fewer symbols, repeated ones counted, are common; only other pairs are computed.
     """
 
-    SHARP = 2.0
-
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
         self.codes = _codes(landmarks)
-        self.norm = np.sqrt(np.maximum(_self(landmarks), 1e-12))
         self.sizes = np.array([len(w) for w in landmarks])
+        self.need = np.maximum(KERNEL, np.ceil(PART * self.sizes).astype(int))
+        self.norm = _self(self.codes) ** -NORM
+        self.planes = max((max(Counter(w).values()) for w in landmarks), default=1)
         self.bits = self._bits(self.codes)
-        letters = np.bitwise_count(self.bits).astype(int)
-        self.need = np.where(letters > 5, letters - 1, letters)
-        self.twos = self._bits(self._pairs(self.codes))
-        self.need_twos = np.ceil(np.bitwise_count(self.twos) / 3).astype(int)
-
-    @staticmethod
-    def _bits(codes: np.ndarray) -> np.ndarray:
-        """A bit for each letter's remainder: letters in common are bits in common."""
-        bits = np.where(codes > 0, np.uint64(1) << (codes % 61).astype(np.uint64), np.uint64(0))
-        return np.bitwise_or.reduce(bits, axis=1) if len(codes) else np.zeros(0, np.uint64)
-
-    @staticmethod
-    def _pairs(codes: np.ndarray) -> np.ndarray:
-        return np.where(codes[:, 1:] > 0, codes[:, :-1] * 31 + codes[:, 1:], 0)
-
-    def __call__(self, words: list[str], block: int = 20_000) -> np.ndarray:
-        out = np.zeros((len(words), len(self.landmarks)), np.float32)
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for at in range(0, len(order), block):
-            part = order[at : at + block]
-            codes, sizes = _codes([words[i] for i in part]), np.array([len(words[i]) for i in part])
-            bits = self._bits(codes)
-            ok = np.bitwise_count(bits[:, None] & self.bits[None]) >= self.need[None]
-            ok &= np.bitwise_count(self._bits(self._pairs(codes))[:, None] & self.twos[None]) >= self.need_twos[None]
-            ok &= (sizes[:, None] >= 0.6 * self.sizes[None]) & (sizes[:, None] <= 1.8 * self.sizes[None]) & (sizes[:, None] >= KERNEL)
-            w, z = np.nonzero(ok)
-            own = np.zeros(len(part), np.float32)
-            hit = np.unique(w)
-            for i in range(0, len(hit), 4000):
-                own[hit[i : i + 4000]] = _pair_kernel(codes[hit[i : i + 4000]], codes[hit[i : i + 4000]])
+        self.symbols = np.unique(self.codes)
+        places = (self.codes[None] == self.symbols[:, None, None]) & (self.codes > 0)[None]
+        #: For each symbol (none of them last) and landmark a bit for every place that holds it.
+        self.places = np.r_[(places * (np.uint64(1) << np.arange(self.codes.shape[1], dtype=np.uint64))).sum(2, dtype=np.uint64), np.zeros((1, len(landmarks)), np.uint64)]
+
+    def _common(self, at: np.ndarray, w: np.ndarray, z: np.ndarray) -> np.ndarray:
+        """Length of the longest common subsequence of windows w and landmarks z, a bit for each place of a landmark."""
+        rest = np.full(len(w), ~np.uint64(0))
+        for column in at.T:
+            hit = rest & self.places[column[w], z]
+            rest = (rest + hit) | (rest - hit)
+        return np.bitwise_count(~rest)
+
+    def _bits(self, codes: np.ndarray) -> list[np.ndarray]:
+        """A bit for each symbol's remainder; in the k-th plane, of symbols that stand there k times or more."""
+        rows = np.sort(np.where(codes > 0, codes % 61 + 1, 0), axis=1)
+        seen = np.ones(rows.shape, np.int64)
+        for j in range(1, rows.shape[1]):
+            seen[:, j] = np.where(rows[:, j] == rows[:, j - 1], seen[:, j - 1] + 1, 1)
+        bit = np.uint64(1) << rows.astype(np.uint64)
+        return [np.bitwise_or.reduce(np.where((rows > 0) & (seen == k), bit, np.uint64(0)), axis=1) for k in range(1, self.planes + 1)]
+
+    def __call__(self, windows: list[str]) -> np.ndarray:
+        out = np.zeros((len(windows), len(self.landmarks)), np.float32)
+        order = sorted(range(len(windows)), key=lambda i: len(windows[i]))
+        for at in range(0, len(order), BLOCK):
+            part = order[at : at + BLOCK]
+            codes = _codes([windows[i] for i in part])
+            common = sum(np.bitwise_count(a[:, None] & b[None]).astype(np.uint8) for a, b in zip(self._bits(codes), self.bits, strict=True))
+            w, z = np.nonzero(common >= self.need)
+            row = np.searchsorted(self.symbols, codes)
+            row[row == len(self.symbols)] = 0
+            row = np.where((self.symbols[row] == codes) & (codes > 0), row, len(self.symbols))
+            near = np.concatenate([self._common(row, w[i : i + BLOCK], z[i : i + BLOCK]) for i in range(0, len(w), BLOCK)] or [w]) >= self.need[z]
+            w, z = w[near], z[near]
+            by = np.argsort(self.sizes[z], kind="stable")  # like lengths together: less padding
+            w, z = w[by], z[by]
             values = np.zeros(len(w), np.float32)
             for i in range(0, len(w), 4000):
-                values[i : i + 4000] = _pair_kernel(codes[w[i : i + 4000]], self.codes[z[i : i + 4000]])
-            cosine = values / (np.sqrt(np.maximum(own[w], 1e-12)) * self.norm[z])
-            out[np.array(part)[w], z] = np.exp(2 * self.SHARP * (np.minimum(cosine, 1) - 1))
+                own, at_ = w[i : i + 4000], z[i : i + 4000]
+                width = self.sizes[at_].max()
+                values[i : i + 4000] = _pair_kernel(codes[own], self.codes[at_][:, :width])
+            hit = np.unique(w[values > 0])
+            own = np.zeros(len(part), np.float32)
+            own[hit] = _self(codes[hit]) ** -NORM
+            out[np.array(part)[w], z] = values * own[w] * self.norm[z]
         return out
 
 
-def _parts(w: str) -> list[str]:
-    return [w] if len(w) <= PART else [w[i : i + PART] for i in range(0, len(w) - PART // 2, PART // 2)]
+def _windows(word: str) -> list[str]:
+    """The kernel's windows of a word of letters; none if it is too short for any common subsequence."""
+    w = _RUN.sub(r"\1", word)
+    if len(w) + 2 < KERNEL:
+        return []
+    plain = _windows(w[::2]) if len(w) > 6 and w.count(w[1]) >= len(w) // 2 and len(set(w[1::2])) == 1 else []  # one letter between all others
+    w = BEGIN + w + END
+    return [w, *plain] if len(w) <= 2 * SPAN else [*(w[i : i + 2 * SPAN] for i in range(0, len(w) - SPAN, SPAN)), *plain]
 
 
-def words_of(raw: str) -> list[str]:
-    """What the kernel compares of a raw word: its letters together, and those between marks; of long ones, overlapping parts; of very short ones, nothing."""
-    pieces = [raw] if raw.isalpha() else [_JUNK.sub("", raw), *_JUNK.split(raw)]
-    return [p for w in dict.fromkeys(pieces) if len(w) >= KERNEL for p in _parts(w)]
+def windows_of(raw: str) -> list[str]:
+    """Windows of a raw word, or of neighbouring raw words: their letters together, and of a single word those between marks."""
+    if raw.isalpha():
+        return _windows(raw)
+    joined = _JUNK.sub("", raw)
+    pieces = [joined] if " " in raw else dict.fromkeys([joined, *_JUNK.split(raw)])
+    return [w for p in pieces for w in _windows(p)]
 
 
 def bag(text: str) -> set[str]:
-    """Distinct raw words of a text, and what letters set apart come to together."""
+    """Distinct raw words of a text, short neighbours, and what letters set apart come to together."""
     low = text.lower()
-    return set(low.split()).union(_JUNK.sub("", m) for m in _APART.findall(low))
+    got = set(low.split()).union(_JUNK.sub("", m) for m in _APART.findall(low))
+    for run in _SHORTS.findall(low):
+        words = run.split()
+        got.update([f"{a} {b}" for a, b in pairwise(words)])
+        if len(words) > 2:
+            got.update([f"{a} {b} {c}" for a, b, c in zip(words, words[1:], words[2:], strict=False) if len(a) + len(b) + len(c) <= SHORT[3]])
+    return got
+
+
+def gapped(window: str) -> list[str]:
+    """A window with a letter put in at each place, and at all of them at once."""
+    inner = window[1:-1]
+    one = [BEGIN + inner[:i] + x + inner[i:] + END for i in range(1, len(inner)) for x in "xe"]
+    full = [BEGIN + x.join(inner) + END for x in "xe"]
+    return [*one, *full * max(1, len(one) // 4)]  # so that those spoilt throughout count half as much as all others
 
 
 class Model:
-    """landmarks, word weights and calibration; margins of words are kept between calls as far as memory is bounded."""
+    """Landmarks, weights of kernel values and calibration; windows' margins are kept between calls as far as memory is bounded."""
 
-    KEEP = 600_000
+    KEEP = 250_000
 
     def __init__(self, landmarks: list[str], weights: np.ndarray, bias: float, calibration: np.ndarray):
         self.kernel, self.weights, self.bias, self.calibration = Kernel(landmarks) if landmarks else None, weights, bias, calibration
@@ -159,113 +240,144 @@ class Model:
         return self.__dict__ | {"margins": {}}
 
     def _learn(self, raw: list[str]) -> None:
-        held = [words_of(r) for r in raw]
-        hot, k = _near(self.kernel, list(set().union(*held)), 0.0)
-        margin = dict(zip(hot, (k @ self.weights + self.bias).tolist(), strict=True))
-        self.margins |= {r: max((margin.get(w, self.bias) for w in h), default=self.bias) for r, h in zip(raw, held, strict=True)}
+        """Margins of raw words, some at a time."""
+        for i in range(0, len(raw), BLOCK):
+            part = raw[i : i + BLOCK]
+            held = [windows_of(r) for r in part]
+            fresh = list({w for h in held for w in h})
+            margin = dict(zip(fresh, (self.kernel(fresh) @ self.weights + self.bias).tolist(), strict=True))
+            self.margins.update((r, max([margin[w] for w in h], default=self.bias)) for r, h in zip(part, held, strict=True))
 
     def margin(self, texts: list[str]) -> np.ndarray:
-        """Highest margin over each text's words; the bias, if there is none."""
+        """Highest margin over each text's windows; the bias, if there is none."""
         if self.kernel is None:
             return np.full(len(texts), self.bias)
-        if len(self.margins) > self.KEEP:
-            self.margins = {}
-        bags = [bag(t) for t in texts]
-        if fresh := set().union(*bags) - self.margins.keys():
+        out, i = [], 0
+        while i < len(texts):
+            j, n = i, 0
+            while j < len(texts) and (j == i or n + len(texts[j]) <= CHARS):
+                n += len(texts[j])
+                j += 1
+            bags = [bag(t) for t in texts[i:j]]
+            fresh = set().union(*bags) - self.margins.keys()
+            if len(self.margins) + len(fresh) > self.KEEP:
+                self.margins = {}
+                fresh = set().union(*bags)
             self._learn(list(fresh))
-        get = self.margins.__getitem__
-        return np.array([max(map(get, b), default=self.bias) for b in bags])
+            get = self.margins.__getitem__
+            out += [max(map(get, b), default=self.bias) for b in bags]
+            i = j
+        return np.array(out)
 
     def score(self, texts: list[str]) -> np.ndarray:
-        return probability(self.calibration, self.margin(texts)[:, None])
-
+        # beyond the machine's own margins there is nothing more to tell
+        return probability(self.calibration, np.clip(self.margin(texts), -1, 2)[:, None])
 
-def _near(kernel: Kernel, words: list[str], least: float, block: int = 20_000) -> tuple[list[str], np.ndarray]:
-    """The words with a kernel value above least, and their values; a block at a time, as nearly all words have none."""
-    kept, rows = [], [np.zeros((0, len(kernel.landmarks)), np.float32)]
-    for i in range(0, len(words), block):
-        k = kernel(words[i : i + block])
-        hot = np.flatnonzero(k.max(1) > least)
-        kept += [words[i + j] for j in hot]
-        rows.append(k[hot])
-    return kept, np.concatenate(rows)
 
-
-def _train_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = 10.0, rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Squared-hinge linear machine by Nesterov's gradient descent."""
-    a = np.c_[x, np.ones(len(x))]
+def _train_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float, rounds: int = 60) -> tuple[np.ndarray, float]:
+    """Squared-hinge linear machine by Newton's method, halving steps that do not help."""
+    a = np.c_[x, np.ones(len(x))].astype(float)
     c = cost * weight / weight.sum()
-    top = 2 * np.linalg.eigvalsh((a * c[:, None]).T @ a)[-1] + 1
-    w = np.zeros(a.shape[1])
-    v = w.copy()
     reg = np.r_[np.ones(x.shape[1]), 1e-3]
-    for k in range(rounds):
-        slack = np.maximum(0, 1 - y * (a @ v))
-        new = v - (reg * v - 2 * a.T @ (c * y * slack)) / top
-        v, w = new + k / (k + 3) * (new - w), new
+    w = np.zeros(a.shape[1])
+    loss = lambda w: (reg * w * w).sum() / 2 + (c * np.maximum(0, 1 - y * (a @ w)) ** 2).sum()
+    now = loss(w)
+    for _ in range(rounds):
+        slack = np.maximum(0, 1 - y * (a @ w))
+        on = slack > 0
+        step = np.linalg.solve(np.diag(reg) + 2 * (a[on] * c[on, None]).T @ a[on], reg * w - 2 * a.T @ (c * y * slack))
+        t = 1.0
+        while (new := loss(w - t * step)) > now and t > 1e-4:
+            t /= 2
+        w = w - t * step
+        if now - new <= 1e-9 * now:
+            break
+        now = new
     return w[:-1], float(w[-1])
 
 
-def fit(texts: list[str], labels: list[int], ids: list[int], weights: list[float] | None = None, landmarks: int = LANDMARKS, rounds: int = 3) -> Model:
-    """weights: what each text stands for. One class only, or no telling word, gives a model with a constant score."""
+def _sentences(texts: list[str]) -> Counter:
+    """How many different sentences hold each window: what copies share counts once."""
+    seen = {s.strip() for t in texts for s in _SENTENCE.split(t.lower())}
+    return Counter(w for s in seen for w in {w for raw in bag(s) for w in windows_of(raw)})
+
+
+def _draw(windows: list[str], worth: np.ndarray, n: int) -> list[str]:
+    """n windows drawn without replacement with odds by worth; the draw depends on nothing but the windows."""
+    u = np.array([(zlib.crc32(f"landmark {w}".encode("utf-8", "replace")) + 1) / 4294967298 for w in windows])
+    order = np.argsort(np.log(u) / np.maximum(worth, 1e-12), kind="stable")
+    return [windows[i] for i in order[::-1][:n]]
+
+
+def _whiten(kernel: Kernel) -> np.ndarray:
+    gram = kernel(kernel.landmarks).astype(float)
+    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    return vectors / np.sqrt(np.maximum(values, 1e-3 * values.max()))
+
+
+def fit(texts: list[str], labels: list[int], ids: list[int], weights: list[float] | None = None, landmarks: int = LANDMARKS, alike: int = ALIKE, rounds: int = 6) -> Model:
+    """weights: what each text stands for. One class only, or no telling window, gives a model with a constant score."""
     weights = weights or [1.0] * len(texts)
     first = {t: i for i, t in reversed(list(enumerate(texts)))}  # copies would make chance words look telling
     texts, labels, ids, weights = ([v[i] for i in sorted(first.values())] for v in (texts, labels, ids, weights))
     y = np.array(labels, int)
-    bags = [sorted({w for raw in bag(t) for w in words_of(raw)}) for t in texts]
-    n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    d1, d0 = Counter(w for b, v in zip(bags, y, strict=True) if v for w in b), Counter(w for b, v in zip(bags, y, strict=True) if not v for w in b)
-    # how surely a word is more frequent in toxic texts: log ratio of rates, smoothed, times support
-    worth = {w: np.log(((k + 0.5) / (n1 + 1)) / ((d0[w] + 0.5) / (n0 + 1))) * np.sqrt(k) for w, k in d1.items() if k >= 3 and (k / n1) > 3 * d0[w] / n0}
-    chosen = sorted(worth, key=lambda w: (-worth[w], w))[:landmarks]
-    if not chosen or y.min() == y.max():
-        return Model([], np.zeros(0), 0.0, logistic(np.zeros((len(y), 1)), y, np.array(weights)))
-    vocab = sorted(set().union(*bags))
-    # words of clean texts that look like telling ones are landmarks too, the most frequent first
-    alike, _ = _near(Kernel(chosen), vocab, 0.1)
-    others = sorted((w for w in alike if d0[w] and w not in worth), key=lambda w: (-d0[w], w))[: landmarks // 2]
-    chosen += others
-    kernel = Kernel(chosen)
-    gram = kernel(chosen)
-    values, vectors = np.linalg.eigh((gram + gram.T) / 2 + 1e-3 * np.eye(len(chosen)))
-    white = vectors / np.sqrt(np.maximum(values, 1e-3))
-    kept, raw = _near(kernel, vocab, 0.05)
-    at = {w: i for i, w in enumerate(kept)}
-    mapped = raw @ white
-    zero = np.zeros((1, mapped.shape[1]))
-    seen = [np.array([at[w] for w in b if w in at], int) for b in bags]
-    start = (raw * np.array([max(worth.get(c, 0.0), 0.0) for c in chosen])).max(1)
-    score, bias = start, 0.0
-    sure = np.array([d1[w] >= SURE and d1[w] / n1 > 20 * d0[w] / n0 for w in at])
-    # the surest words again, each with a letter put in: what a gap costs is learned, not only allowed
-    spoilt = sorted({w[:i] + x + w[i:] for w, ok in zip(at, sure, strict=True) if ok and w in worth for i in range(1, len(w)) for x in (w[i], "x")} - set(vocab))
-    spoilt_x = kernel(spoilt) @ white if spoilt else np.zeros((0, white.shape[1]))
+    constant = Model([], np.zeros(0), 0.0, logistic(np.zeros((len(y), 1)), y, np.array(weights)))
+    if not len(y) or y.min() == y.max():
+        return constant
+    d1, d0 = (_sentences([t for t, v in zip(texts, y, strict=True) if v == k]) for k in (1, 0))
+    n1, n0 = (max(1, sum(len(_SENTENCE.split(t)) for t, v in zip(texts, y, strict=True) if v == k)) for k in (1, 0))
+    held = [{w for raw in bag(t) for w in windows_of(raw)} for t in texts]
+    vocab = sorted(d1.keys() | d0.keys() | set().union(*held))
+    a, b = np.array([d1[w] for w in vocab], float), np.array([d0[w] for w in vocab], float)
+    if not len(vocab):
+        return constant
+    pooled = (a + b + 1) / (n1 + n0 + 2)
+    z = (a / n1 - b / n0) / np.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))
+    chosen = _draw(vocab, np.maximum(z, 0) ** 6, landmarks - alike)
+    close = Kernel(chosen)(vocab).max(1)
+    chosen += _draw(vocab, np.where(z < 0, close, 0.0) ** 6, alike)
+    texts1 = Counter(w for h, v in zip(held, y, strict=True) if v for w in h)
+    often = np.array([texts1[w] for w in vocab]) >= SHARE * y.sum()
+    start = np.where(often & (a >= SURE) & (a / n1 > RATIO * b / n0), z, 0.0)
+    at = {w: i for i, w in enumerate(vocab)}
+    bags = [np.array([at[w] for w in sorted(h)], int) for h in held]
     check = np.array([zlib.crc32(f"calibrate {i}".encode()) % 4 == 0 for i in ids])
-    for _ in range(rounds):
-        x, lab, wt = [zero], [np.array([-1.0])], [np.array([1.0])]
-        for s, v, c in zip(seen, y, check, strict=True):
-            if c or not len(s):
-                continue
-            if v:
-                best = np.union1d(s[np.argmax(score[s])], s[sure[s]])
-                x.append(mapped[best])
-                lab.append(np.ones(len(best)))
-                wt.append(np.full(len(best), 1.0 / len(best)))
-            else:
-                worst = s[np.argsort(-score[s])[:3]]
-                x.append(mapped[worst])
-                lab.append(np.full(len(worst), -1.0))
-                wt.append(np.full(len(worst), 1.0 / len(worst)))
-        x.append(spoilt_x)
-        lab.append(np.ones(len(spoilt)))
-        wt.append(np.full(len(spoilt), 0.3 * max(1, y.sum()) / max(1, len(spoilt))))
-        x, lab, wt = np.concatenate(x), np.concatenate(lab), np.concatenate(wt)
-        wt = np.where(lab > 0, wt / max(wt[lab > 0].sum(), 1e-9), wt / wt[lab < 0].sum())
-        w, bias = _train_svm(x, lab, wt * len(lab), cost=COST)
-        score = mapped @ w + bias
-    doc = np.array([score[s].max(initial=bias) for s in seen])
+    if not (start > 0).any():
+        return constant
+    spoilt = sorted(g for i in np.flatnonzero(start) for g in gapped(vocab[i]) if g not in at)
+
+    def machine(chosen: list[str]) -> tuple[np.ndarray, float, np.ndarray]:
+        kernel = Kernel(chosen)
+        white = _whiten(kernel)
+        mapped, spoilt_x = kernel(vocab) @ white, kernel(spoilt) @ white if spoilt else np.zeros((0, len(chosen)))
+        score = start
+        worst: list[np.ndarray] = [np.zeros(0, int)] * len(bags)  # of clean texts, what any round has found to look worst
+        for _ in range(rounds):
+            x, lab, wt = [np.zeros((1, len(chosen)))], [np.array([-1.0])], [np.array([1.0])]
+            for k, (own, v, apart) in enumerate(zip(bags, y, check, strict=True)):
+                if apart or not len(own):
+                    continue
+                if v:
+                    best = own[start[own] > 0]  # a text without any teaches nothing
+                else:
+                    best = worst[k] = np.union1d(worst[k], own[np.argsort(-score[own], kind="stable")[:3]])
+                if len(best):
+                    x.append(mapped[best])
+                    lab.append(np.full(len(best), 1.0 if v else -1.0))
+                    wt.append(np.full(len(best), 1.0 / len(best)))
+            x.append(spoilt_x)
+            lab.append(np.ones(len(spoilt)))
+            wt.append(np.full(len(spoilt), 2.0 * max(1, y.sum()) / max(1, len(spoilt))))
+            x, lab, wt = np.concatenate(x), np.concatenate(lab), np.concatenate(wt)
+            wt = np.where(lab > 0, wt / max(wt[lab > 0].sum(), 1e-9), CAUTION * wt / wt[lab < 0].sum())
+            w, bias = _train_svm(x, lab, wt, COST)
+            score = mapped @ w + bias
+        return white @ w, bias, score
+
+    beta, bias, score = machine(chosen)
+    doc = np.clip([score[s].max(initial=bias) for s in bags], -1, 2)
     cal = check if len(set(y[check])) == 2 else np.ones(len(y), bool)
-    return Model(chosen, white @ w, bias, logistic(doc[cal][:, None], y[cal], np.array(weights)[cal]))
+    return Model(chosen, beta, bias, logistic(doc[cal][:, None], y[cal], np.array(weights)[cal]))
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic", per_class: int = PER_CLASS) -> Model:
@@ -280,16 +392,19 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     repeated rows alike; a null id is not held out.
     """
     score = lambda texts: {"score": model.score(texts)}
-    out = scored(docs, score, "score double", id_col, text_col, remainder(id_col, MODULUS) == HELD_OUT, ROWS)
+    out = scored(docs, score, "score double", id_col, text_col, remainder(id_col, MODULUS) == HELD_OUT)
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """docs' rows whose text scores below THRESHOLD, all columns kept."""
+    """docs' rows whose text scores below THRESHOLD, all columns kept, whatever their names.
+
+    Null, empty and wordless texts stay unless a text without a telling word is toxic; repeated rows stay or go alike. An
+    empty table stays empty.
+    """
 
     @F.pandas_udf("boolean")
     def ok(texts: pd.Series) -> pd.Series:
-        got = np.concatenate([model.score(texts.iloc[i : i + ROWS].fillna("").tolist()) for i in range(0, len(texts), ROWS)]) if len(texts) else np.zeros(0)
-        return pd.Series(got < THRESHOLD)
+        return pd.Series(model.score(texts.fillna("").tolist()) < THRESHOLD)
 
     return docs.filter(ok(F.col(text_col)))

@@ -56,8 +56,9 @@ def test_decontamination_shuffled_path_agrees(spark, monkeypatch):
 
 def test_removal(spark):
     d = docs(spark, TEXTS)
-    kept = decontam.remove(d, bench(spark, ITEMS))
-    assert kept.columns == d.columns
+    clash = d.select("*", *[F.lit(1).alias(c) for c in ("row", "id", "t", "k", "kt", "spans", "__k", "__kt", "__spans")])
+    kept = decontam.remove(clash, bench(spark, ITEMS))
+    assert kept.columns == clash.columns and decontam.remove(clash, bench(spark, ITEMS), unit="spans").columns == clash.columns
     assert sorted(r.doc_id for r in kept.collect()) == [2, 3, 4, 5, 6, 9]
     cut = {r.doc_id: r.text for r in decontam.remove(d, bench(spark, ITEMS), unit="spans").filter("text <> 'other'").collect()}
     assert cut[1] == "before , after" and cut[6] == "x  y " and cut[4] == "a b c" and cut[9] == TEXTS[9][1]
@@ -107,11 +108,33 @@ def test_rewriting_keeps_columns_and_nulls(spark):
     d = docs(spark, line_cases())
     out = line_dedup.rewrite(d)
     assert out.columns == d.columns
+    clash = d.select("*", *[F.lit(1).alias(c) for c in ("row", "lines", "kept", "dropped", "k", "drop", "stay", "h1", "__lines", "__k", "__drop", "__stay")])
+    assert sorted(map(repr, line_dedup.rewrite(clash).select(d.columns).collect())) == sorted(map(repr, out.collect()))
     texts = {r.doc_id: r.text for r in out.collect()}
     assert texts[8] is None and texts[1] == "own 1\nend" and LONG in texts[7]
     assert line_dedup.report(docs(spark, [])).count() == 0
 
 
+def test_lines_of_later_batches_meet_a_kept_store(spark, tmp_path):
+    store = str(tmp_path / "store")
+    first, later = [(i, LONG) for i in range(1, 5)], [(9, LONG), (10, "other")]
+    assert {r.n_dropped for r in line_dedup.report(docs(spark, first), store=store).collect()} == {0}
+    got = {r.doc_id: r.n_dropped for r in line_dedup.report(docs(spark, later), store=store).collect()}
+    assert got == {9: 0, 10: 0}
+    assert {r.doc_id: r.n_dropped for r in line_dedup.report(docs(spark, [(6, LONG)]), store=store).collect()} == {6: 1}
+
+
+def test_runs_are_not_shuffled(spark, tmp_path):
+    runs = line_dedup.LineRuns(spark, str(tmp_path / "runs"), fanout=10)
+    for k in range(3):
+        runs.add(spark.range(1000).select((F.col("id") % 700).alias("h1"), F.lit(1).cast("long").alias("h2"), (F.col("id") * 7 + k).alias("id")))
+    fresh = runs.read(runs.runs()[2])
+    for name in runs.runs()[:2]:
+        fresh = fresh.join(runs.read(name).select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 def brute_rules(t):
     w = [x for x in re.split("[\x20\x09-\x0d]+", t or "") if x]
     g = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
