@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reachlab.llm import decontam, line_dedup, simhash, spm, toxicity
-from reachlab.llm._common import table, work_dir
+from reachlab.llm._common import MADE, clean, drop_path, table, work_dir
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,18 +19,18 @@ def lines_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: of each group of near copies the smallest id stays."""
+    """Operator 8: of each group of near copies the smallest id stays; rows without an id stay."""
     return simhash.keep_one(docs)
 
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 1: documents that hold a benchmark passage go."""
+    """Operator 1: documents that hold a benchmark passage go; null and empty texts stay."""
     return decontam.remove(docs, table(spark, sf_dir, "benchmark"), unit="documents")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: token counts and digests of ids and of the text decoded from them."""
-    return spm.encode(docs, spm.model_path(), digests=True)
+    """Operator 5: token counts, ids, and digests of the ids and of the text decoded from them."""
+    return spm.encode(docs, spm.model_path(), outputs=("ids", "ids_sha256", "decoded_sha256"))
 
 
 def _recount(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -53,9 +53,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The stages over documents, each written and read again; a stage's working folders and its input go once it is written.
+
+    Rows with null ids or texts, empty texts, repeated rows and further columns pass through as each operator's docstring says.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        path = work_dir(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        made = len(MADE)
+        out = stage(spark, docs, sf_dir)
+        path = f"{work_dir(spark, 'pipeline')}/{name.replace(' ', '-')}"
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        own = MADE.pop()
+        clean(spark, made)
+        if before:
+            drop_path(spark, before)
+        before = own
     return docs
