@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import sys
 import uuid
 from collections.abc import Iterator
@@ -116,6 +119,13 @@ def lookup_join(left: DataFrame, right: DataFrame, on: list[str], how: str, spre
     return left.join(right.hint("shuffle_merge"), [*on, "__salt"], how).drop("__salt")
 
 
+def trim() -> None:
+    """Gives free memory back to the system: Python workers outlive their tasks, and what they hold counts against their executor."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def parts(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.RecordBatch]:
     """The batch in slices whose texts in a column have about size bytes, a longer text alone, so that no more is unpacked at a time."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))

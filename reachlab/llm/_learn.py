@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from reachlab.llm._common import lookup_join, parts, ship, staged
+from reachlab.llm._common import lookup_join, parts, ship, staged, trim
 
 ship(__name__)
 
@@ -47,6 +47,7 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str, keep: Column, per_cla
         found = got["label"].value_counts()
         got["weight"] = [sizes[v] / found[v] for v in got["label"]]
         yield pd.DataFrame({"model": [cloudpickle.dumps(fit(got))]})
+        trim()
 
     made = rows.repartition(1).mapInPandas(learn, "model binary").collect()
     return cloudpickle.loads(bytes(made[0][0])) if made else fit(pd.DataFrame({"id": [], "text": [], "label": [], "weight": []}))
@@ -82,6 +83,7 @@ def scored(docs: DataFrame, score: Callable[[list[str]], dict[str, object]], col
             for part in parts(batch, 2, chars):
                 texts = [t or "" for t in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_pandas(pd.DataFrame({"__id": part.column(0).to_pandas(integer_object_nulls=True), "held_out": part.column(1).to_pandas()} | score(texts)), schema, preserve_index=False)
+            trim()
 
     own = docs.select(F.col(id_col).cast("long").alias("__id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), F.col(text_col).alias("__text"))
     kinds = f"__id long, held_out boolean, {columns}"

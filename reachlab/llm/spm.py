@@ -18,13 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachlab.llm._common import parts, ship
+from reachlab.llm._common import parts, ship, trim
 
 ship(__name__)
 
 MARK = "▁"
 #: Bytes, about, of words and their codes that a task keeps between batches.
-CACHE = 48 << 20
+CACHE = 32 << 20
 #: Characters of new words merged in one go, a longer word alone; bytes of texts coded in one go.
 FLAT, TEXTS = 1 << 18, 1 << 20
 
@@ -258,6 +258,8 @@ def _coder(model_file: str, outputs: tuple[str, ...]):
                         got[name] = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
                 n = pa.array([t.count(" ") + 1 for t in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(0), n, *[pa.array(got[o], pa.string()) for o in outputs]], names=["__id", "n_tokens", *outputs])
+        known.codes = {}
+        trim()
 
     return run
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
+from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
@@ -22,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reachlab.llm._common import ship
+from reachlab.llm._common import ship, trim
 from reachlab.llm._learn import fitted, logistic, probability, remainder, scored
 
 ship(__name__)
@@ -30,19 +31,21 @@ ship(__name__)
 KERNEL = 6
 DECAY = 0.9
 #: Share of a landmark's symbols that a window must hold, in order, to be like it at all.
-PART = 0.65
+PART = 0.7
 #: The kernel is divided by both windows' own kernels to this power: 0 would favour long windows, 0.5 erase gapped ones.
 NORM = 0.2
 #: Landmarks, and how many of them are drawn from windows that clean sentences hold more often, by likeness to the others.
-LANDMARKS, ALIKE = 96, 24
+LANDMARKS, ALIKE = 80, 20
 COST = 200000.0
 #: A window stands for toxic texts in training if this share of them holds it, in so many different sentences, and it is so much rarer in others.
 SHARE, SURE, RATIO = 0.01, 5, 20
 #: What clean windows weigh in training, all in all, against 1 for toxic ones.
-CAUTION = 6
+CAUTION = 8
 #: Labelled texts of each class that fitting uses at most.
 PER_CLASS = 1200
 MODULUS, HELD_OUT = 4, 2
+#: Margins are cut off here: the machine's own for clean windows, and twice that for toxic ones.
+LOWEST, HIGHEST = -1.0, 2.0
 #: From this score on a text counts as toxic.
 THRESHOLD = 0.3
 #: Longer words are looked at in windows of twice this many letters that overlap by half: subsequences that span more weigh next to nothing.
@@ -50,8 +53,9 @@ SPAN = 24
 #: Neighbouring words of so many characters each are also looked at together in twos, and of so many in all in threes.
 SHORT = {2: 3, 3: 6}
 #: Characters of texts, and windows, that are looked at in one go.
-CHARS, BLOCK = 2_000_000, 20_000
+CHARS, BLOCK = 1_000_000, 8_000
 
+OUTER = ".,;:!?\"'()"
 BEGIN, END = "\x02", "\x03"
 _JUNK = re.compile(r"[\W\d_]+")
 _APART = re.compile(r"(?<![^\W_])[^\W\d_](?:[^\w\n]{1,3}[^\W\d_]){2,}(?![^\W_])")
@@ -210,7 +214,7 @@ def windows_of(raw: str) -> list[str]:
 def bag(text: str) -> set[str]:
     """Distinct raw words of a text, short neighbours, and what letters set apart come to together."""
     low = text.lower()
-    got = set(low.split()).union(_JUNK.sub("", m) for m in _APART.findall(low))
+    got = {w.strip(OUTER) for w in set(low.split())}.union(_JUNK.sub("", m) for m in _APART.findall(low))
     for run in _SHORTS.findall(low):
         words = run.split()
         got.update([f"{a} {b}" for a, b in pairwise(words)])
@@ -228,16 +232,21 @@ def gapped(window: str) -> list[str]:
 
 
 class Model:
-    """Landmarks, weights of kernel values and calibration; windows' margins are kept between calls as far as memory is bounded."""
+    """Landmarks, weights of kernel values and calibration. Raw words that were looked at are remembered as far as memory is bounded."""
 
-    KEEP = 250_000
+    KEEP = 1_000_000
 
     def __init__(self, landmarks: list[str], weights: np.ndarray, bias: float, calibration: np.ndarray):
         self.kernel, self.weights, self.bias, self.calibration = Kernel(landmarks) if landmarks else None, weights, bias, calibration
-        self.margins: dict[str, float] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        #: Margins of raw words above the lower bound, and 64-bit hashes of all others.
+        self.hot: dict[str, float] = {}
+        self.cold: set[int] = set()
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"margins": {}}
+        return self.__dict__ | {"hot": {}, "cold": set()}
 
     def _learn(self, raw: list[str]) -> None:
         """Margins of raw words, some at a time."""
@@ -245,13 +254,18 @@ class Model:
             part = raw[i : i + BLOCK]
             held = [windows_of(r) for r in part]
             fresh = list({w for h in held for w in h})
-            margin = dict(zip(fresh, (self.kernel(fresh) @ self.weights + self.bias).tolist(), strict=True))
-            self.margins.update((r, max([margin[w] for w in h], default=self.bias)) for r, h in zip(part, held, strict=True))
+            margin = self.kernel(fresh) @ self.weights + self.bias
+            above = {w: m for w, m in zip(fresh, margin.tolist(), strict=True) if m > LOWEST}
+            for r, h in zip(part, held, strict=True):
+                if best := [above[w] for w in h if w in above]:
+                    self.hot[r] = max(best)
+                else:
+                    self.cold.add(hash(r))
 
     def margin(self, texts: list[str]) -> np.ndarray:
-        """Highest margin over each text's windows; the bias, if there is none."""
+        """Highest margin over each text's windows, at least LOWEST and at most HIGHEST: beyond those there is nothing more to tell."""
         if self.kernel is None:
-            return np.full(len(texts), self.bias)
+            return np.clip(np.full(len(texts), self.bias), LOWEST, HIGHEST)
         out, i = [], 0
         while i < len(texts):
             j, n = i, 0
@@ -259,19 +273,15 @@ class Model:
                 n += len(texts[j])
                 j += 1
             bags = [bag(t) for t in texts[i:j]]
-            fresh = set().union(*bags) - self.margins.keys()
-            if len(self.margins) + len(fresh) > self.KEEP:
-                self.margins = {}
-                fresh = set().union(*bags)
-            self._learn(list(fresh))
-            get = self.margins.__getitem__
-            out += [max(map(get, b), default=self.bias) for b in bags]
+            if len(self.cold) > self.KEEP or len(self.hot) > self.KEEP // 10:
+                self.forget()
+            self._learn([w for w in set().union(*bags) - self.hot.keys() if hash(w) not in self.cold])
+            out += [max([self.hot[w] for w in self.hot.keys() & b], default=LOWEST) for b in bags]
             i = j
-        return np.array(out)
+        return np.minimum(out, HIGHEST)
 
     def score(self, texts: list[str]) -> np.ndarray:
-        # beyond the machine's own margins there is nothing more to tell
-        return probability(self.calibration, np.clip(self.margin(texts), -1, 2)[:, None])
+        return probability(self.calibration, self.margin(texts)[:, None])
 
 
 def _train_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float, rounds: int = 60) -> tuple[np.ndarray, float]:
@@ -375,7 +385,7 @@ def fit(texts: list[str], labels: list[int], ids: list[int], weights: list[float
         return white @ w, bias, score
 
     beta, bias, score = machine(chosen)
-    doc = np.clip([score[s].max(initial=bias) for s in bags], -1, 2)
+    doc = np.clip([score[s].max(initial=bias) for s in bags], LOWEST, HIGHEST)
     cal = check if len(set(y[check])) == 2 else np.ones(len(y), bool)
     return Model(chosen, beta, bias, logistic(doc[cal][:, None], y[cal], np.array(weights)[cal]))
 
@@ -403,8 +413,12 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     empty table stays empty.
     """
 
-    @F.pandas_udf("boolean")
-    def ok(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.score(texts.fillna("").tolist()) < THRESHOLD)
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(model.score(texts.fillna("").tolist()) < THRESHOLD)
+        model.forget()
+        trim()
+
+    ok = F.pandas_udf(judge, "boolean")
 
     return docs.filter(ok(F.col(text_col)))

@@ -111,3 +111,39 @@ def test_insults_joined_by_marks():
     model = toxicity.fit(clean + bad, [0] * 300 + [1] * 100, list(range(400)))
     for t in ("dimwitted,blockhead", "blockhead/dimwitted", "blockhead—dimwitted", "|dimwitted|thething|", "blockhead_7_thething"):
         assert model.score([t])[0] >= 0.3 > model.score(["lorem,anaus"])[0], t
+
+
+def test_spoilt_insults_score_as_toxic(spark):
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
+    model = toxicity.train(docs, labels)
+    for t in ("you idiot", "you idixot", "you ixdxixoxt", "you iddddiiiioooot", "you id iot", "stupid/moron", "stupidmoron", "w.o.r.t.h.l.e.s.s"):
+        assert model.score([t])[0] >= 0.3, t
+    assert model.score(["is the or on", "they are anon"]).max() < 0.1
+
+
+def test_kernel_values_equal_those_of_a_slow_version():
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdeo"), rng.integers(4, 14))) for _ in range(60)]
+    windows = [w for x in words for w in toxicity._windows(x)]
+    marks = windows[:9]
+    got = toxicity.Kernel(marks)(windows)
+    raw = lambda a, b: float(toxicity._pair_kernel(toxicity._codes([a]), toxicity._codes([b]))[0])
+
+    def common(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            row = _step(row, x, b)
+        return row[-1]
+
+    def _step(row, x, b):
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(new[j], row[j + 1]))
+        return new
+
+    for i, a in enumerate(windows):
+        for j, b in enumerate(marks):
+            alike = common(a, b) >= max(toxicity.KERNEL, np.ceil(toxicity.PART * len(b)))
+            want = raw(a, b) / (raw(a, a) * raw(b, b)) ** toxicity.NORM if alike else 0.0
+            assert np.isclose(got[i, j], want, rtol=1e-3, atol=1e-6)
