@@ -31,16 +31,16 @@ ship(__name__)
 KERNEL = 6
 DECAY = 0.9
 #: Share of a landmark's symbols that a window must hold, in order, to be like it at all.
-PART = 0.7
+PART = 0.65
 #: The kernel is divided by both windows' own kernels to this power: 0 would favour long windows, 0.5 erase gapped ones.
 NORM = 0.2
 #: Landmarks, and how many of them are drawn from windows that clean sentences hold more often, by likeness to the others.
-LANDMARKS, ALIKE = 80, 20
+LANDMARKS, ALIKE = 96, 24
 COST = 200000.0
 #: A window stands for toxic texts in training if this share of them holds it, in so many different sentences, and it is so much rarer in others.
 SHARE, SURE, RATIO = 0.01, 5, 20
 #: What clean windows weigh in training, all in all, against 1 for toxic ones.
-CAUTION = 8
+CAUTION = 6
 #: Labelled texts of each class that fitting uses at most.
 PER_CLASS = 1200
 MODULUS, HELD_OUT = 4, 2
