@@ -152,7 +152,7 @@ def f14(spark: SparkSession, d: str) -> DataFrame:
     return _cases(spark, [r[:2] for r in _DATES], "raw string, ends boolean").select("raw", "ends", C.change_date("raw", F.col("ends")).alias("day"))
 
 
-_CHANGES = [("begins", "begins"), ("Starts", "begins"), ("commences", "begins"), ("ends", "ends"), ("resumes", "resumes"), ("suspended until May 2026", "resumes"), ("suspended", "suspended"), ("other", None)]
+_CHANGES = [("begins", "begins"), ("Starts", "begins"), ("commences", "begins"), ("ends", "ends"), ("resumes", "resumes"), ("suspended until May 2026", "resumes"), ("suspended", "suspended"), ("Terminated", "suspended"), ("cancelled", "suspended"), ("temporarily suspended", "suspended"), ("temporarily suspended until May 2026", "resumes"), ("other", None)]
 
 
 @query("f15_change_kind", f"SELECT word, kind FROM {_values(_CHANGES, 'word, kind')}")
@@ -173,7 +173,7 @@ def f17(spark: SparkSession, d: str) -> DataFrame:
     return t(spark, d, "pages").select("page_id", C.article_title("url").alias("title"))
 
 
-_TIERS = [("regional", False, "regional"), ("long_distance;commuter", False, "commuter"), ("x", False, "default"), (None, False, "default"), ("commuter", True, "high_speed"), ("high_speed; regional", False, "regional")]
+_TIERS = [("regional", False, "regional"), ("long_distance;commuter", False, "commuter"), ("x", False, "default"), (None, False, "default"), ("commuter", True, "high_speed"), ("high_speed; regional", False, "regional"), ("suburban", False, "commuter"), ("national; international", False, "long_distance"), ("tourist;night", False, "tourism"), ("default", False, "default")]
 
 
 @query("f18_service_tier", f"SELECT raw, fast, tier FROM {_values(_TIERS, 'raw, fast, tier')}")
@@ -181,9 +181,9 @@ def f18(spark: SparkSession, d: str) -> DataFrame:
     return _cases(spark, [r[:2] for r in _TIERS], "raw string, fast boolean").select("raw", "fast", C.service_tier("raw", F.col("fast")).alias("tier"))
 
 
-@query("f19_fold", r"SELECT doc_id, trim(regexp_replace(translate(lower(left(text, 60)), 'àáâãäåçèéêëìíîïñòóôõöùúûüýÿ', 'aaaaaaceeeeiiiinooooouuuuyy'), '[^\p{L}\p{N}]+', ' ', 'g')) AS folded FROM documents")
+@query("f19_fold", r"SELECT doc_id, trim(regexp_replace(strip_accents(lower(text)), '[^\p{L}\p{N}]+', ' ', 'g')) AS folded FROM documents")
 def f19(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "documents").select("doc_id", C.fold(F.left("text", F.lit(60))).alias("folded"))
+    return t(spark, d, "documents").select("doc_id", C.fold("text").alias("folded"))
 
 
 @query("f20_drop_false_via", "SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN s_name || ' (via ' || n_name || ')' ELSE s_name END AS label FROM supplier JOIN nation ON n_nationkey = s_nationkey")
@@ -237,9 +237,9 @@ def f28(spark: SparkSession, d: str) -> DataFrame:
     return t(spark, d, "part").select("p_partkey", F.round(C.urban_radius_km(F.col("p_retailprice") * 1000, 4000.0), 6).alias("km"))
 
 
-@query("f29_format_time", "SELECT o_orderkey, CASE WHEN m < 60 THEN m || ' min' WHEN m % 60 = 0 THEN m // 60 || ' h' ELSE m // 60 || ' h ' || printf('%02d', m % 60) || ' min' END AS shown FROM (SELECT o_orderkey, o_orderkey % 1500 AS m FROM orders)")
+@query("f29_format_time", "SELECT o_orderkey, CASE WHEN m IS NULL THEN '—' WHEN m < 60 THEN m || ' min' WHEN m % 60 = 0 THEN m // 60 || ' h' ELSE m // 60 || ' h ' || m % 60 || ' min' END AS shown, CASE WHEN m < 60 THEN m || ' min' WHEN m % 60 = 0 THEN m // 60 || ' h' ELSE m // 60 || ' h ' || printf('%02d', m % 60) END AS tick FROM (SELECT o_orderkey, o_orderkey % 1500 AS m FROM orders)")
 def f29(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "orders").select("o_orderkey", C.format_time(F.col("o_orderkey") % 1500).alias("shown"))
+    return t(spark, d, "orders").select("o_orderkey", C.format_time(F.col("o_orderkey") % 1500).alias("shown"), C.format_tick(F.col("o_orderkey") % 1500).alias("tick"))
 
 
 @query("f30_base64_body", "SELECT n_nationkey, to_base64(n_name::BLOB) AS body FROM nation")
