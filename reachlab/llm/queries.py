@@ -84,12 +84,12 @@ SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER
   sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY r""",
     "op3_warc": """
-WITH p AS (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS h FROM pages WHERE page_id IS NOT NULL),
+WITH p AS (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS h FROM pages),
 t AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top, sha1(h) AS s FROM p),
 b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(('0x' || s[i:i])::INT), 4, '0')), '') AS bits FROM t)
 SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
   array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(0, 5), lambda j: bits[5 * i + j + 1:5 * i + j + 1]::INT * (16 // (1 << j))))::INT, 1)), '') AS payload_digest,
-  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to
+  CASE WHEN page_id IS NOT DISTINCT FROM top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to
 FROM b""",
     "op9_quality_rules": r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(0) || 'null') AS host, coalesce(text, '') AS t FROM documents),
