@@ -31,10 +31,12 @@ def fitted(docs: DataFrame, labels: DataFrame, label: str, keep: Column, per_cla
     """
     own = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull() & keep).groupBy(F.col(id_col).alias("__i")).agg(F.max(label).alias("__l"))
     own = staged(own, "labelled")
-    # Spark limits each partition's classes before it shuffles them: of a class that all rows have, no more than per_class a task move
-    order = Window.partitionBy("__l").orderBy(F.xxhash64("__i"), "__i")
-    chosen = staged(own.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= per_class).drop("__n"), "labelled-sample")
     sizes = {r[0]: r[1] for r in own.groupBy("__l").count().collect()}  # a row a class
+    # hashes are even, so the first per_class of a class lie in a share of their range that holds over twice as many: no more is sorted
+    hashed, order = own.withColumn("__h", F.xxhash64("__i")), Window.partitionBy("__l").orderBy("__h", "__i")
+    share = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, min(1.0, (2 * per_class + 200) / n))]) if sizes else F.create_map()
+    few = hashed.filter(F.col("__h") / float(1 << 64) + 0.5 <= share[F.col("__l")]) if sizes else hashed
+    chosen = staged(few.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= per_class).select("__i", "__l"), "labelled-sample")
     rows = docs.select(F.col(id_col).alias("__i"), F.col(text_col).alias("text"))
     rows = lookup_join(rows, chosen, ["__i"], "inner", F.col("__i"))
     rows = rows.select(F.col("__i").alias("id"), "text", F.col("__l").alias("label"))
