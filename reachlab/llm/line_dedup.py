@@ -78,6 +78,18 @@ class LineRuns:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table(name)}")
             drop_path(self.spark, f"{self.path}/{name}")
 
+    def _merged(self, names: list[str]) -> DataFrame:
+        """One row per hash of several tables, joined bucket by bucket: counts summed, the largest id kept.
+
+        Not by a union: Spark 4.1 takes a union of bucketed tables for bucketed and groups it without an exchange, but its
+        tasks do not hold the same bucket of each table, so a hash that is in two tables would stay two rows.
+        """
+        merged = self.read(names[0])
+        for name in names[1:]:
+            other = self.read(name).select(*KEY, F.col("n").alias("n2"), F.col("keep").alias("keep2"))
+            merged = merged.join(other.hint("merge"), KEY, "full_outer").select(*KEY, (F.coalesce("n", F.lit(0)) + F.coalesce("n2", F.lit(0))).alias("n"), F.greatest("keep", "keep2").alias("keep"))
+        return merged
+
     def runs(self) -> list[str]:
         return [p for level in sorted(self.levels) for p in self.levels[level]]
 
@@ -101,11 +113,7 @@ class LineRuns:
         level = 0
         while len(self.levels.get(level, [])) >= self.fanout:
             old = self.levels.pop(level)
-            merged = self.read(old[0])
-            for name in old[1:]:  # runs share no hash: joining them by bucket is merging them
-                other = self.read(name).select(*KEY, F.col("n").alias("n2"), F.col("keep").alias("keep2"))
-                merged = merged.join(other.hint("merge"), KEY, "full_outer").select(*KEY, F.coalesce("n", "n2").alias("n"), F.coalesce("keep", "keep2").alias("keep"))
-            self.levels.setdefault(level + 1, []).append(self._write(merged, "run"))
+            self.levels.setdefault(level + 1, []).append(self._write(self._merged(old), "run"))
             gone += old
             level += 1
         self._save()
@@ -124,13 +132,11 @@ class LineRuns:
         if not self.runs():
             return found
         if self.repeats:
-            log = self.read(self.repeats[0])
-            for name in self.repeats[1:]:
-                log = log.unionByName(self.read(name))
-            again = self._write(log.groupBy(*KEY).agg(F.sum("n").alias("n"), F.max("keep").alias("keep")), "log")
-            old, self.repeats = self.repeats, [again]  # summed up, it says the same
-            self._save()
-            self._drop(old)
+            while len(self.repeats) > 1:  # pair by pair; summed up, the log says the same
+                old = self.repeats
+                self.repeats = [self._write(self._merged(old[i : i + 2]), "log") if i + 1 < len(old) else old[i] for i in range(0, len(old), 2)]
+                self._save()
+                self._drop([name for name in old if name not in self.repeats])
         for run in self.runs():
             own = self.read(run)
             if self.repeats:

@@ -135,6 +135,15 @@ def test_runs_are_not_shuffled(spark, tmp_path):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
 
 
+def test_repeats_of_several_batches_are_summed_up(spark, tmp_path):
+    runs = line_dedup.LineRuns(spark, str(tmp_path / "summed"))
+    for k in range(5):
+        runs.add(spark.range(500).select("id", F.lit(1).cast("long").alias("h2"), F.lit(k + 1).cast("long").alias("doc")).select(F.col("id").alias("h1"), "h2", F.col("doc").alias("id")))
+    got = [tuple(r) for r in runs.frequent(5).collect()]
+    assert sorted(got) == [(h, 1, 5) for h in range(500)]
+    assert len(runs.repeats) == 1
+
+
 def brute_rules(t):
     w = [x for x in re.split("[\x20\x09-\x0d]+", t or "") if x]
     g = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
