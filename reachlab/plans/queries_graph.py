@@ -248,7 +248,9 @@ def b10(spark: SparkSession, d: str) -> DataFrame:
 def nodes_per_band(spark: SparkSession, d: str) -> DataFrame:
     """The flagship: route network, one solve, bands, with what is not reached as band -1."""
     nodes = t(spark, d, "nation").select(F.col("n_nationkey").alias("node"))
-    return nodes.join(solved(spark, d).select("node", "d"), "node", "left").groupBy(C.band_of("d").alias("band")).agg(F.count(F.lit(1)).alias("nodes"))
+    per = nodes.join(solved(spark, d).select("node", "d"), "node", "left").select(C.band_of("d").alias("band"), F.lit(1).cast("long").alias("n"))
+    none = spark.range(1).select(F.lit(-1).alias("band"), F.lit(0).cast("long").alias("n"))  # band -1 is there even if all is reached
+    return per.unionByName(none).groupBy("band").agg(F.sum("n").alias("nodes"))
 
 
 # -- served queries

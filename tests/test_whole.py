@@ -106,3 +106,19 @@ def test_components_of_all_lines(spark):
     largest = max(list(want.values()).count(c) for c in want.values())
     gate = run(spark, "v4_connectivity")[0]
     assert abs(gate.observed - (1 - largest / len(want))) < 1e-9 and gate.ok == (gate.observed <= 0.01)
+
+
+def test_band_of_the_unreached_is_there_if_all_is_reached(spark, tmp_path):
+    con = duckdb.connect()
+    tables = {
+        "nation": "SELECT i::INT AS n_nationkey FROM range(3) r(i)",
+        "supplier": "SELECT i AS s_suppkey, i::INT AS s_nationkey FROM range(3) r(i)",
+        "customer": "SELECT i AS c_custkey, i::INT AS c_nationkey FROM range(3) r(i)",
+        "orders": "SELECT i AS o_orderkey, i AS o_custkey FROM range(3) r(i)",
+        "lineitem": "SELECT i AS l_orderkey, j AS l_suppkey, 'N' AS l_returnflag, 5.0::DOUBLE AS l_quantity FROM range(3) r(i), range(3) s(j)",
+    }
+    for name, sql in tables.items():
+        con.execute(f"COPY ({sql}) TO '{tmp_path}/{name}.parquet'")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet')")
+    got = {r.band: r.nodes for r in catalog.QUERIES["b1_nodes_per_band"](spark, str(tmp_path)).collect()}
+    assert got == dict(con.execute(catalog.ORACLE_SQL["b1_nodes_per_band"]).fetchall()) and got[-1] == 0
