@@ -189,3 +189,9 @@ def test_polygons_are_met_by_their_boxes_only(spark, monkeypatch):
     assert {r.k: r.polygon for r in S.point_in_polygon(points, edges, "k", "polygon").collect()} == want
     assert len(sizes) == 3 and sum(sizes) < 20 * len(at)
     assert S.point_in_polygon(points, edges.limit(0), "k", "polygon").count() == 0
+
+
+def test_every_customer_is_judged_by_few_pairs(spark, monkeypatch, crowd):
+    sizes = met_pairs(monkeypatch)
+    assert agrees(spark, "p9_misresolved", crowd)
+    assert sum(sizes) < 40 * 3000, sizes
