@@ -3,10 +3,11 @@
 import hashlib
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from reachlab.llm import decontam, line_dedup, quality_rules
+from reachlab.llm import decontam, line_dedup, quality_rules, queries
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 DOCS = "doc_id long, text string, source string, __w string, n_hit string"
@@ -144,6 +145,16 @@ def test_repeats_of_several_batches_are_summed_up(spark, tmp_path):
     assert len(runs.repeats) == 1
 
 
+def test_lines_match_the_sql_on_a_whole_table(spark):
+    path = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/documents.parquet')")
+    cur = con.execute(queries.ORACLE_SQL["op2_line_dedup"])
+    names = [c[0] for c in cur.description]
+    got = [tuple(r) for r in queries.op2_line_dedup(spark, path).select(names).collect()]
+    assert sorted(got) == sorted(cur.fetchall())
+
+
 def brute_rules(t):
     w = [x for x in re.split("[\x20\x09-\x0d]+", t or "") if x]
     g = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
