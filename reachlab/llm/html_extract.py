@@ -1,32 +1,31 @@
 """Main text of web pages by wrapper induction.
 
-A bounded sample of each host's pages is parsed, and their DOM trees are aligned with the first one's by simple tree
-matching. Nodes whose text is the same on all of them are the host's template, slots whose text varies are content. A page's text is
+All pages of a host are read. Those whose regions bear the same labels are a layout; its different pages count in how many of them each
+text stands in one place, and what most hold is a candidate. The trees of candidates are then aligned with those of the pages they
+are taken from by simple tree matching, and candidates that most pages hold in aligned places are the template. A page's text is
 what stands in its article, or else in its largest content region, less what elements and their names mark as page
-furniture, less the host's template.
+furniture, less the template of its host and layout.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
-import zlib
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Collection, Generator, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reachlab.llm._common import lookup_join, ship, staged
 
 ship(__name__)
 
-#: Pages of a host that the template is learned from at most, and at least for there to be one.
-SAMPLE, ENOUGH = 12, 6
-#: Larger trees are not used for learning (they are extracted like all others).
-NODES = 1500
-DEPTH = 100
-#: If more of the sample's article text than this is constant, the pages are copies of each other and no template.
+#: Different pages that must hold a text in one place for it to be a layout's, and their share of all the layout's different pages.
+ENOUGH, SHARE = 6, 0.8
+#: If more of a layout's text than this is held by most of its pages, the pages are copies of each other and there is no template.
 COPIES = 0.4
 
 # Fixed by HTML: elements without an end, elements that hold raw text, block elements, and what an opening tag ends.
@@ -114,38 +113,37 @@ def furniture(n: Node) -> bool:
     return n.tag in FURNITURE or n.hidden or (n.tag not in ("html", "body", "article", "main") and bool(n.names & NAMES))
 
 
-def blocks(root: Node, path: tuple[str, ...] = ()) -> list[tuple[str, str]]:
-    """(path of labels, text) of each block in page order, without furniture; white space is one space, empty ones go."""
-    out: list[tuple[str, str]] = []
+def events(root: Node) -> Iterator[tuple[int, str]]:
+    """In page order, without furniture: (1, label) of a block that opens, (0, text) of what stands in one, (-1, "") of its end; white space is one space, empty texts go."""
     open_: list[str] = []
 
-    def flush(path: tuple[str, ...]) -> None:
+    def flush() -> Iterator[tuple[int, str]]:
         if open_ and (text := _SPACE.sub(" ", "".join(open_)).strip()):
-            out.append((">".join(path), text))
+            yield 0, text
         open_.clear()
 
-    stack: list[tuple[Node, Iterator, tuple[str, ...]]] = [(root, iter(root.children), path)]
+    stack: list[tuple[Node, Iterator]] = [(root, iter(root.children))]
     while stack:
-        node, rest, path = stack[-1]
+        node, rest = stack[-1]
         for child in rest:
             if isinstance(child, str):
                 open_.append(child)
             elif child.tag == "br":
                 open_.append("\n")
             elif child.tag not in VOID and not furniture(child):
-                inner = path
                 if child.tag in BLOCK:
-                    flush(path)
-                    inner = (*path, child.label)
-                stack.append((child, iter(child.children), inner))
+                    yield from flush()
+                    yield 1, child.label
+                stack.append((child, iter(child.children)))
                 break
             elif child.tag in BLOCK:
-                flush(path)
+                yield from flush()
         else:
             stack.pop()
             if node.tag in BLOCK or not stack:
-                flush(path)
-    return out
+                yield from flush()
+            if node.tag in BLOCK and stack:
+                yield -1, ""
 
 
 def _walk(root: Node) -> Iterator[Node]:
@@ -184,33 +182,81 @@ def regions(root: Node) -> list[Node]:
     return [root]
 
 
-def main_blocks(text: str) -> list[tuple[str, str]]:
-    return [b for r in regions(parse(text)) for b in blocks(r, (r.label,))]
+def digest(*parts: str) -> int:
+    """64 bits, signed as a long."""
+    return int.from_bytes(hashlib.blake2b("\0".join(parts).encode("utf-8", "surrogatepass"), digest_size=8).digest(), signed=True)
+
+
+def main_blocks(text: str) -> list[str]:
+    return [t for r in regions(parse(text)) for what, t in events(r) if not what]
+
+
+def read(text: str, host: str) -> tuple[int, list[tuple[int, str, int]]]:
+    """The page's layout, and the events of its regions, each text with its key: the same in one place (path of labels) of one layout of a host."""
+    found = regions(parse(text))
+    layout = digest(host, *sorted({r.label for r in found}))
+    out: list[tuple[int, str, int]] = []
+    for r in found:
+        path = [r.label]
+        out.append((1, r.label, 0))
+        for what, t in events(r):
+            if what > 0:
+                path.append(t)
+            elif what < 0:
+                path.pop()
+            out.append((what, t, 0 if what else digest(str(layout), ">".join(path), t)))
+        out.append((-1, "", 0))
+    return layout, out
+
+
+def prune(page: list[tuple[int, str, int]], wanted: Collection[int]) -> str:
+    """The page's tree of wanted texts alone, as tokens: +label, =key and - for an end; "" if it has none."""
+    out: list[str] = []
+    for what, t, k in page:
+        if what > 0:
+            out.append(f"+{digest(t)}")
+        elif what == 0:
+            if k in wanted:
+                out.append(f"={k}")
+        elif out[-1][0] == "+":
+            out.pop()
+        else:
+            out.append("-")
+    return " ".join(out)
 
 
-def _simple(n: Node, path: tuple[str, ...]) -> tuple:
-    """(label, children, text, path) of a node; texts are put together per block."""
-    inner = (*path, n.label)
-    return (n.label, [_simple(c, inner) for c in n.children if isinstance(c, Node) and c.tag in BLOCK and c.tag != "br" and not furniture(c)], _own_text(n), ">".join(inner))
+def grow(tokens: str) -> tuple:
+    """(label, children) of prune()'s tokens."""
+    root: tuple = ("#", [])
+    stack = [root]
+    for t in tokens.split():
+        if t == "-":
+            stack.pop()
+        else:
+            stack[-1][1].append((t, []))
+            if t[0] == "+":
+                stack.append(stack[-1][1][-1])
+    return root
 
 
-def _own_text(n: Node) -> str:
-    """The node's text without that of block children."""
-    own: list[str] = []
-    stack: list[Node | str] = list(reversed(n.children))
-    while stack:
-        c = stack.pop()
-        if isinstance(c, str):
-            own.append(c)
-        elif c.tag == "br":
-            own.append(" ")
-        elif c.tag not in BLOCK and not furniture(c):
-            stack.extend(reversed(c.children))
-    return _SPACE.sub(" ", "".join(own)).strip()
+def tree_match(a: tuple, b: tuple) -> tuple[int, list[tuple[tuple, tuple]]]:
+    """Simple tree matching: the most nodes that roots, labels and the order of children let match, and those pairs. Trees may be of any depth."""
+    stack, value = [_matching(a, b)], None
+    while True:
+        try:
+            inner = stack[-1].send(value)
+        except StopIteration as end:
+            stack.pop()
+            value = end.value
+            if not stack:
+                return value
+        else:
+            stack.append(_matching(*inner))
+            value = None
 
 
-def tree_match(a: tuple, b: tuple) -> tuple[int, list[tuple[tuple, tuple]]]:
-    """Simple tree matching: the most nodes that roots, labels and the order of children let match, and those pairs."""
+def _matching(a: tuple, b: tuple) -> Generator[tuple[tuple, tuple], tuple | None, tuple[int, list]]:
+    """tree_match() of two nodes, which asks for that of their children."""
     if a[0] != b[0]:
         return 0, []
     m, n = len(a[1]), len(b[1])
@@ -218,7 +264,14 @@ def tree_match(a: tuple, b: tuple) -> tuple[int, list[tuple[tuple, tuple]]]:
     inner: dict[tuple[int, int], tuple[int, list]] = {}
     for i in range(m):
         for j in range(n):
-            w = inner[i, j] = tree_match(a[1][i], b[1][j])
+            x, y = a[1][i], b[1][j]
+            if x[0] != y[0]:
+                w = (0, [])
+            elif not x[1] or not y[1]:
+                w = (1, [(x, y)])
+            else:
+                w = yield x, y
+            inner[i, j] = w
             best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + w[0])
     pairs, i, j = [], m, n
     while i and j:
@@ -233,76 +286,104 @@ def tree_match(a: tuple, b: tuple) -> tuple[int, list[tuple[tuple, tuple]]]:
     return 1 + best[m][n], [(a, b), *pairs]
 
 
-def _size(t: tuple) -> int:
-    return 1 + sum(map(_size, t[1]))
+def agreed(a: tuple, b: tuple) -> set[int]:
+    """Keys of the texts that two of grow()'s trees hold in aligned places."""
+    return {int(x[0][1:]) for x, _ in tree_match(a, b)[1] if x[0][0] == "="}
 
 
-def _deep(root: Node) -> bool:
-    """Whether the tree is deeper than DEPTH: alignment recurses, extraction doesn't."""
-    level, depth = [root], 0
-    while level and depth <= DEPTH:
-        level, depth = [c for n in level for c in n.children if isinstance(c, Node)], depth + 1
-    return bool(level)
+def _page_keys(page: list[tuple[int, str, int]]) -> tuple[int, int, dict[int, int]]:
+    """Mark of all the page's texts (equal ones are copies), their length in all, and the length of each key's."""
+    texts = [(k, t) for what, t, k in page if not what]
+    return digest(*[str(k) for k, _ in texts]), sum(len(t) for _, t in texts), {k: len(t) for k, t in texts}
 
 
-def induce(pages: list[str]) -> list[str]:
-    """The template of one host: keys (path and text's checksum) of texts that are the same, in aligned places, on all pages."""
-    trees, seen = [], set()
+def induce(pages: list[str], host: str = "") -> list[int]:
+    """The template of one host: keys of texts that most of the different pages of a layout hold in aligned places. As templates(), for pages at hand."""
+    layouts: dict[int, dict[int, tuple]] = defaultdict(dict)
     for p in pages:
-        root = parse(p)
-        if _deep(root):
+        layout, page = read(p, host)
+        mark, size, keys = _page_keys(page)
+        if keys:
+            layouts[layout][mark] = (page, size, keys)  # a copy teaches nothing
+    out: list[int] = []
+    for seen in layouts.values():
+        need = max(float(ENOUGH), SHARE * len(seen))
+        held = Counter(k for _, _, keys in seen.values() for k in keys)
+        sizes = {k: n for _, _, keys in seen.values() for k, n in keys.items()}
+        held = Counter({k: c for k, c in held.items() if c >= need})
+        if not held or sum(c * sizes[k] for k, c in held.items()) > COPIES * sum(size for _, size, _ in seen.values()):
             continue
-        found = regions(root)
-        tree = ("#", [_simple(r, ()) for r in found], "", "")
-        mark = zlib.crc32(repr(tree).encode("utf-8", "replace"))
-        if mark not in seen and _size(tree) <= NODES:  # a copy teaches nothing
-            seen.add(mark)
-            trees.append(tree)
-    if len(trees) < ENOUGH:
-        return []
-    first = trees[0]
-    constant: dict[int, tuple] = {}
-    stack = [first]
-    total = 0
-    while stack:
-        t = stack.pop()
-        total += len(t[2])
-        if t[2]:
-            constant[id(t)] = t
-        stack += t[1]
-    for other in trees[1:]:
-        same = {id(a) for a, b in tree_match(first, other)[1] if a[2] == b[2]}
-        constant = {k: t for k, t in constant.items() if k in same}
-    if not constant or sum(len(t[2]) for t in constant.values()) > COPIES * total:
-        return []
-    return sorted(key(t[3], t[2]) for t in constant.values())
-
-
-def key(path: str, text: str) -> str:
-    return f"{zlib.crc32(path.encode('utf-8', 'replace')):08x}{zlib.crc32(text.encode('utf-8', 'replace')):08x}{len(text)}"
+        first = {k: min(mark for mark, (_, _, keys) in seen.items() if k in keys) for k in held}
+        trees = {mark: grow(prune(page, held)) for mark, (page, _, _) in seen.items()}
+        same = Counter(k for f in set(first.values()) for t in trees.values() for k in agreed(trees[f], t) if first[k] == f)
+        out += [k for k, c in same.items() if c >= need]
+    return sorted(out)
 
 
-def extract(text: str | None, template: frozenset[str] = frozenset()) -> str:
+def extract(text: str | None, template: Collection[int] = (), host: str = "") -> str:
     if not text:
         return ""
-    return " ".join(t for p, t in main_blocks(text) if not template or key(p, t) not in template)
+    if not template:
+        return " ".join(main_blocks(text))
+    return " ".join(t for what, t, k in read(text, host)[1] if not what and k not in template)
 
 
-def templates(pages: DataFrame, host_col: str = "__host", html_col: str = "__html", id_col: str = "__id") -> DataFrame:
-    """__host, __template (array of keys) of hosts that have one. Only SAMPLE pages of a host are gathered, the first by a hash."""
-    # Spark limits each partition's groups before it shuffles them, so a host with a third of all pages gathers no more than others
-    order = Window.partitionBy(host_col).orderBy(F.xxhash64(id_col), id_col)
-    rows = pages.filter(F.col(html_col).isNotNull()).select(host_col, id_col).withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= SAMPLE)
-    hosts = rows.groupBy(host_col).agg(F.max("__n").alias("__of")).filter(F.col("__of") >= ENOUGH).select(host_col)
-    chosen = rows.join(hosts, host_col).select(F.col(id_col).alias("__c"), F.col("__n"))
-    sample = pages.join(chosen, F.col(id_col) == F.col("__c")).select(host_col, html_col, "__n")
+def templates(pages: DataFrame, host_col: str = "__host", html_col: str = "__html") -> DataFrame:
+    """__host, __template (array of keys) of hosts that have one, from all their pages. Only keys and trees of candidates move, no page."""
+    rows = pages.filter(F.col(html_col).isNotNull()).select(F.col(host_col).alias("__host"), F.col(html_col).alias("__html"))
 
-    def learn(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("__n").drop_duplicates("__n")
-        found = induce(group[html_col].tolist()[:SAMPLE])
-        return pd.DataFrame({"__host": group[host_col].iloc[:1], "__template": [found]})
+    def keys_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in range(0, len(batch), 500):
+                out = []
+                for host, text in zip(batch["__host"].iloc[i : i + 500], batch["__html"].iloc[i : i + 500], strict=True):
+                    layout, page = read(text, host)
+                    mark, size, keys = _page_keys(page)
+                    if keys:
+                        out.append((host, layout, mark, size, list(keys), list(keys.values())))
+                yield pd.DataFrame(out, columns=["__host", "layout", "mark", "size", "keys", "sizes"])
+
+    seen = rows.mapInPandas(keys_of, "__host string, layout long, mark long, size long, keys array<long>, sizes array<long>")
+    seen = staged(seen.dropDuplicates(["layout", "mark"]), "pages-seen")  # a copy teaches nothing
+    layouts = seen.groupBy("layout").agg(F.min("__host").alias("__host"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("all")).filter(F.col("n") >= ENOUGH)
+    need = F.greatest(F.lit(float(ENOUGH)), F.lit(SHARE) * F.col("n"))
+    held = seen.select("layout", "mark", F.explode(F.arrays_zip("keys", "sizes")).alias("k"))
+    held = held.groupBy("layout", F.col("k.keys").alias("key")).agg(F.count(F.lit(1)).alias("c"), F.max("k.sizes").alias("size"), F.min("mark").alias("first"))
+    held = staged(held.filter(F.col("c") >= ENOUGH).join(layouts, "layout").filter(F.col("c") >= need), "pages-held")
+    proper = held.groupBy("layout").agg(F.sum(F.col("c") * F.col("size")).alias("same"), F.max("all").alias("all")).filter(F.col("same") <= COPIES * F.col("all"))
+    held = held.join(proper.select("layout"), "layout", "left_semi")
+    wanted = staged(held.groupBy("__host").agg(F.collect_set("key").alias("wanted")), "pages-wanted")
+    if wanted.isEmpty():
+        return wanted.withColumnRenamed("wanted", "__template")
+
+    def trees_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out, sets = [], {}
+            for host, text, keys in zip(batch["__host"], batch["__html"], batch["wanted"], strict=True):
+                if host not in sets:
+                    sets[host] = frozenset(keys)
+                layout, page = read(text, host)
+                if tree := prune(page, sets[host]):
+                    out.append((layout, _page_keys(page)[0], tree))
+            yield pd.DataFrame(out, columns=["layout", "mark", "tree"])
+
+    trees = lookup_join(rows, wanted, ["__host"], "inner", F.xxhash64("__html")).mapInPandas(trees_of, "layout long, mark long, tree string")
+    trees = staged(trees.dropDuplicates(["layout", "mark"]), "pages-trees")
+    # each candidate is looked for as it stands in the first page, by mark, that holds it; as most pages do, these are few
+    firsts = held.groupBy("layout", F.col("first").alias("mark")).agg(F.collect_set("key").alias("own")).join(trees, ["layout", "mark"])
+    firsts = staged(firsts.groupBy("layout").agg(F.collect_list("tree").alias("firsts"), F.collect_list("own").alias("owns")), "pages-firsts")
+
+    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for layout, tree, pages, firsts, owns in zip(batch["layout"], batch["tree"], batch["pages"], batch["firsts"], batch["owns"], strict=True):
+                own = grow(tree)
+                out += [(layout, k, pages) for f, keys in zip(firsts, owns, strict=True) for k in agreed(grow(f), own) & set(keys)]
+            yield pd.DataFrame(out, columns=["layout", "key", "pages"])
 
-    return sample.groupBy(host_col).applyInPandas(learn, "__host string, __template array<string>").filter(F.size("__template") > 0)
+    shapes = trees.groupBy("layout", "tree").agg(F.count(F.lit(1)).alias("pages"))  # pages with the same candidates align alike
+    same = lookup_join(shapes, firsts, ["layout"], "inner", F.xxhash64("tree")).mapInPandas(align, "layout long, key long, pages long").groupBy("layout", "key").agg(F.sum("pages").alias("aligned"))
+    return same.join(held, ["layout", "key"]).filter(F.col("aligned") >= need).groupBy("__host").agg(F.collect_set("key").alias("__template"))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -313,14 +394,17 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     host = F.lower(F.regexp_extract(F.col(url_col), r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     own = pages.select(F.col(id_col).cast("long").alias("__id"), F.col(url_col).alias("__url"), F.coalesce(host, F.lit("")).alias("__host"), F.col(html_col).alias("__html"))
     known = staged(templates(own.filter("__host <> ''")), "templates")  # counted, then joined
-    joined = lookup_join(own, known, ["__host"], "left", F.col("__id")).select("__id", "__url", "__html", "__template")
+    joined = lookup_join(own, known, ["__host"], "left", F.col("__id")).select("__id", "__url", "__host", "__html", "__template")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets: dict[int, frozenset[str]] = {}
+            sets: dict[str, frozenset[int]] = {}
             for i in range(0, len(batch), 500):
                 part = batch.iloc[i : i + 500]
-                texts = [extract(h, frozenset(t) if t is not None and len(t) else frozenset()) for h, t in zip(part["__html"], part["__template"], strict=True)]
+                for host, t in zip(part["__host"], part["__template"], strict=True):
+                    if host not in sets:
+                        sets[host] = frozenset() if t is None else frozenset(t)
+                texts = [extract(h, sets[host], host) for h, host in zip(part["__html"], part["__host"], strict=True)]
                 yield pd.DataFrame({"__id": part["__id"], "__url": part["__url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     out = joined.mapInPandas(run, "__id long, __url string, text string, n_chars long")

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 import sentencepiece
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from reachlab.llm import html_extract as H
@@ -184,6 +185,54 @@ def test_copies_make_no_template():
     assert H.induce(same) == []
 
 
+NOTICE = "Join our list of readers today"
+
+
+def story(i, first="", n=None):
+    body = "".join(f"<p>Part {j} of story {i}, told as on no other page: {i * 31 + j}.</p>" for j in range(n or 2 + i % 5))
+    return f"<html><body><nav>menu</nav><article>{first}{body}</article></body></html>"
+
+
+def texts(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in H.extract_pages(df).collect()}
+
+
+def test_templates_come_from_all_pages(spark):
+    ids = [r.id for r in spark.range(40).orderBy(F.xxhash64("id"), "id").collect()]  # as pages were once sampled
+    rows = [(i, f"http://all.example/{i}", story(i, f"<p>{NOTICE}</p>" if n % 10 else "")) for n, i in enumerate(ids)]  # on 36 of 40
+    rows += [(100 + i, f"http://few.example/{i}", story(i, "<p>A line of these pages alone</p>" if n < 12 else "", 3)) for n, i in enumerate([r.id - 100 for r in spark.range(100, 140).orderBy(F.xxhash64("id"), "id").collect()])]  # on 12 of 40
+    got = texts(spark, rows)
+    assert not any(NOTICE in got[i] for i in range(40)) and all("Part 1" in t for t in got.values())
+    assert sum("A line of these pages alone" in got[100 + i] for i in range(40)) == 12
+
+
+def test_templates_of_large_and_deep_pages(spark):
+    rows = [(i, f"http://l.example/{i}", story(i, f"<p>{NOTICE}</p>", 1600)) for i in range(8)]
+    rows += [(10 + i, f"http://d.example/{i}", story(i, "<div>" * 1500 + f"<p>{NOTICE}</p>" + "</div>" * 1500)) for i in range(8)]
+    got = texts(spark, rows)
+    assert len(got) == 16 and not any(NOTICE in t for t in got.values()) and all(t.startswith("Part 0") for t in got.values())
+
+
+def test_templates_are_of_a_layout_and_as_induced(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(150):
+        parts = [f"<p>{NOTICE}</p>"] * (rng.random() < 0.9) + [f"<div class='x'>Written by the desk<br>{i}</div>"] * (rng.random() < 0.9) + [f"<p>Own {i * 7 + j}</p>" for j in range(rng.randint(8, 12))]
+        if i % 3 == 0:
+            rng.shuffle(parts)  # out of place
+        tag = ("article", "main", "div class='story'")[i % 3]
+        rows.append((i, f"http://h{i % 2}.example/{i}", f"<{tag}>{''.join(parts)}<footer>f</footer><p>Thank you for reading</p></{tag.split()[0]}>"))
+    rows += [(200 + i, url, html) for i, (_, url, html) in enumerate(rows[:30])]  # copies count once
+    df = spark.createDataFrame([(u[7:17], h) for _, u, h in rows], "__host string, __html string")
+    got = {r[0]: sorted(r[1]) for r in H.templates(df).collect()}
+    want = {h: H.induce([p for _, u, p in rows if u[7:17] == h], h) for h in got}
+    assert got == want and len(got) == 2 and all(want.values())
+    out = texts(spark, rows)
+    assert not any("Thank you" in t for t in out.values())
+    assert not any(NOTICE in out[i] for i in range(150) if i % 3)  # in the other layout it has no place
+
+
 def test_simple_tree_matching():
     leaf = lambda x: (x, [], x, x)
     a, b = ("r", [leaf("a"), leaf("b"), leaf("c")], "", ""), ("r", [leaf("x"), leaf("a"), leaf("c")], "", "")
